@@ -104,15 +104,25 @@ def index_with(
     df: DataFrame, labels: Mapping[str, Sequence[str]], suffix: str = "_index"
 ) -> DataFrame:
     """Index columns whose labels are known, with Spark's own lookup."""
-    if not labels:
-        return df
-    model = StringIndexerModel.from_arrays_of_labels(
-        [list(v) for v in labels.values()],
-        inputCols=list(labels),
-        outputCols=[c + suffix for c in labels],
-        handleInvalid="keep",
-    )
-    return model.transform(df)
+    for model in index_models(labels, suffix):
+        df = model.transform(df)
+    return df
+
+
+def index_models(
+    labels: Mapping[str, Sequence[str]], suffix: str = "_index"
+) -> list[StringIndexerModel]:
+    """One fitted indexer per column.
+
+    Not one for all: label lists of unequal length reach the JVM filled up with
+    nulls, which would count as labels.
+    """
+    return [
+        StringIndexerModel.from_labels(
+            list(values), inputCol=column, outputCol=column + suffix, handleInvalid="keep"
+        )
+        for column, values in labels.items()
+    ]
 
 
 def _index_by_join(df: DataFrame, column: str, ranks: DataFrame, suffix: str) -> DataFrame:

@@ -330,6 +330,11 @@ def _model_order(layout: partials.BlockLayout) -> np.ndarray | None:
     return np.array([0, *features, *([d - 1] if layout.label else [])])
 
 
-def moment_columns(terms: Sequence[str], label: str | None) -> list[str]:
-    """Names of the rows and columns of the matrix, the intercept first."""
-    return ["(intercept)", *terms, *([label] if label else [])]
+def vector_sum(df: DataFrame, column: str, width: int) -> DataFrame:
+    """(position, total): the elementwise sum of a fixed-width array column.
+
+    One sum per position instead of one row per element; null where no row has
+    the position.
+    """
+    sums = [F.sum(F.get(column, F.lit(i)).cast("double")) for i in range(width)]
+    return df.agg(F.array(*sums).alias("v")).select(F.posexplode("v").alias("position", "total"))

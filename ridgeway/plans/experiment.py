@@ -182,7 +182,7 @@ def _run(
     if compare:
         used = spec.with_categoricals(design.categoricals)
         pca_k = preset.pca_k and min(preset.pca_k, train.p)
-        features = feature_pipeline(used, pca_k).fit(train_rows)
+        features = feature_pipeline(used, pca_k, design.labels).fit(train_rows)
         model = linear_regression(features.transform(train_rows), spec.label, alpha)
         mllib_r2 = r2_on(model, features.transform(test_rows), spec.label)
     return ExperimentResult(

@@ -66,3 +66,16 @@ def load_modelling_table(
     joined = join_tables(drop_columns(left, names), drop_columns(right, names), on)
     joined = drop_columns(joined, [c for c in drop_after_join if c.lower() not in kept])
     return drop_matching(joined, drop_patterns, keep=keep)
+
+
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Use all cores on a table that is stored in fewer files than there are cores.
+
+    A file with one row group is read by one task, and without a later shuffle
+    the whole plan would stay there. Large tables have files enough, and are
+    returned as they are: no shuffle is added to them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
