@@ -95,9 +95,12 @@ def string_index(
     try:
         return index_with(df, fit_labels(source, columns, order, max_labels), suffix)
     except TooManyLabels:
-        for column in columns:
-            df = _index_by_join(df, column, rank_labels(source, column, order), suffix)
-        return df
+        if len(columns) == 1:
+            return _index_by_join(df, columns[0], rank_labels(source, columns[0], order), suffix)
+    # each column on its own, so that only those with many labels are joined
+    for column in columns:
+        df = string_index(df, [column], source, order, max_labels, suffix)
+    return df
 
 
 def index_with(

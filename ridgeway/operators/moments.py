@@ -17,9 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import and_
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -37,19 +39,24 @@ from pyspark.sql.types import (
 )
 
 from ridgeway.operators import partials, solvers
+from ridgeway.sources.stage import reused
 
 # executors need not have this package installed
 for module in (partials, solvers):
     cloudpickle.register_pickle_by_value(module)
 
-# above this many columns the generated code of the native plan outgrows the JIT
+# 12 columns make 91 sums; past 100 fields (spark.sql.codegen.maxFields) Spark
+# gives up whole-stage code, and the numpy plan is faster
 NATIVE_MAX_COLUMNS = 12
-# the p×p matrix is solved on the driver; beyond it use an iterative solver
-MAX_WIDTH = 4096
+# the p×p matrix is solved on the driver; beyond it an iterative solver is used
+MAX_WIDTH = 8192
 # matrices of live groups that a task may hold, in bytes
 LIVE_BYTES = 256 << 20
-# partial matrices per core that reach the shuffle
+# partial matrices that may reach the shuffle: some per core, or this volume
 TASKS_PER_CORE = 4
+PARTIAL_BYTES = 256 << 30
+# packed sums that one collect may bring to the driver
+COLLECT_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -161,16 +168,35 @@ class MomentTable:
         """Moments per group value. A group is one matrix, whatever its rows.
 
         Only for groupings of known, small size (folds); for many groups use
-        :meth:`entries` or the grouped solver.
+        :meth:`entries` or the grouped solver. Wide matrices come one by one.
         """
-        found: dict[tuple, dict[int, tuple]] = {}
-        for row in self.packed.collect():
-            group = tuple(row[c] for c in self.by)
-            found.setdefault(group, {})[row["chunk"]] = row["v"]
-        return {g: self._moments(chunks) for g, chunks in found.items()}
-
-    def _moments(self, chunks: dict[int, tuple]) -> Moments:
-        packed = np.concatenate([np.asarray(chunks[i]) for i in range(len(chunks))])
+        if 4 * self._size**2 * 8 <= COLLECT_BYTES or not self.by:
+            return self._fetch(self.packed)
+        with reused(self.packed) as packed:
+            groups = packed.select(*self.by).distinct().collect()
+            found: dict[tuple, Moments] = {}
+            for group in groups:
+                same = [F.col(c).eqNullSafe(F.lit(group[c])) for c in self.by]
+                found |= self._fetch(packed.filter(reduce(and_, same)))
+            return found
+
+    def _fetch(self, packed: DataFrame) -> dict[tuple, Moments]:
+        fetched = packed.select(*self.by, "chunk", "v").toArrow().combine_chunks()
+        groups = list(zip(*(fetched.column(c).to_pylist() for c in self.by)))
+        groups = groups or [()] * fetched.num_rows
+        chunks = fetched.column("chunk").to_numpy()
+        numbers = fetched.column("v")
+        members: dict[tuple, list[int]] = {}
+        for at, group in enumerate(groups):
+            members.setdefault(group, []).append(at)
+        found = {}
+        for group, rows in members.items():
+            ordered = np.asarray(rows)[np.argsort(chunks[rows])]
+            flat = numbers.take(pa.array(ordered)).combine_chunks().flatten()
+            found[group] = self._moments(flat.to_numpy(zero_copy_only=False))
+        return found
+
+    def _moments(self, packed: np.ndarray) -> Moments:
         size = self._size
         total = np.zeros((size, size))
         total[np.tril_indices(size)] = packed[: size * (size + 1) // 2]
@@ -275,8 +301,9 @@ def _arrow(df: DataFrame, design: Design, label: str | None, by: Sequence[str])
     rows = df.select(*wanted)
 
     cores = df.sparkSession.sparkContext.defaultParallelism
-    # narrow: bounds the number of partial matrices without moving a row
-    rows = rows.coalesce(max(8, TASKS_PER_CORE * cores))
+    # narrow: bounds the partial matrices, which do not shrink with the rows of a
+    # task, without moving a row; small matrices leave the scan as it is
+    rows = rows.coalesce(max(TASKS_PER_CORE * cores, PARTIAL_BYTES // matrix_bytes))
     if by and layout.max_live < 8:
         # wide matrices: meet one group after the other, so that few are live
         rows = rows.sortWithinPartitions("_group")

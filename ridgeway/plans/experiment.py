@@ -139,21 +139,28 @@ def run_experiment(
     seed: int = 0,
     compare: bool = True,
     refit_per_fold: bool = False,
-    stage: bool = False,
+    keep: str = "cache",
 ) -> ExperimentResult:
     """Run a preset on a table.
 
     Features are scaled by the whole training set before folds are cut;
     ``refit_per_fold`` scales by each fold's own training rows instead.
-    The prepared rows are kept by the executors, or with ``stage`` written to
-    the shared folder, which outlives the loss of an executor.
+
+    ``keep`` says what happens to the prepared rows between the passes: 'cache'
+    holds them in the executors' memory and disk, 'table' writes them to the
+    shared folder (which survives executors), 'nothing' prepares them anew for
+    each pass (the cheapest where there is no join and no comparison).
     """
     spec = preset.select(spec, seed)
     rows = prepare(df, spec, folds, weights, seed)
-    if stage:
-        return _run(staged(rows, preset.name), spec, preset, compare, refit_per_fold)
-    with reused(rows) as kept:
-        return _run(kept, spec, preset, compare, refit_per_fold)
+    if keep == "cache":
+        with reused(rows) as kept:
+            return _run(kept, spec, preset, compare, refit_per_fold)
+    if keep == "table":
+        rows = staged(rows, preset.name)
+    elif keep != "nothing":
+        raise ValueError("keep must be 'cache', 'table' or 'nothing'")
+    return _run(rows, spec, preset, compare, refit_per_fold)
 
 
 def _run(

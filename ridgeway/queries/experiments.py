@@ -20,8 +20,10 @@ from ridgeway.sources.stage import new_folder
 FEWER = {"experiment2": {"categoricals": 1}, "experiment3": {"categoricals": 4}, "experiment4": {"pca_k": 10}}
 
 
-def _experiment_sql(categoricals: int, alphas: tuple[float, ...] = (0.01, 0.1, 1.0)) -> str:
-    """All of an experiment but PCA: one matrix per part, then elimination."""
+def _experiment_sql(
+    categoricals: int, alphas: tuple[float, ...] = (0.01, 0.1, 1.0), components: int | None = None
+) -> str:
+    """An experiment in SQL: one matrix per part, axes by powers, fits by elimination."""
     dense = [*sql.NUMERICALS, "line_rank", "priority_rank"]
     label = 9999
     dense_cells = "\n  UNION ALL ".join(
@@ -32,6 +34,21 @@ def _experiment_sql(categoricals: int, alphas: tuple[float, ...] = (0.01, 0.1, 1
     )
     names = ", ".join(f"('{c}')" for c in sql.CATEGORICALS)
     grid = ", ".join(f"({a})" for a in alphas)
+    if components is None:
+        basis = "basis AS MATERIALIZED (SELECT i, i AS comp, 1.0 / d AS w FROM scale)"
+    else:
+        basis = f"""correlation_rows AS (
+  SELECT c.i, list(c.s / (n - 1) / a.d / b.d ORDER BY c.j) AS row
+  FROM centred c JOIN counts USING (id) JOIN scale a ON a.i = c.i JOIN scale b ON b.i = c.j
+  WHERE c.id = 5 GROUP BY c.i
+),
+correlation AS (SELECT list(row ORDER BY i) AS m FROM correlation_rows),
+{sql.principal_axes('correlation', components)},
+loadings AS (SELECT comp, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM axes),
+basis AS MATERIALIZED (
+  SELECT i, CAST(comp AS BIGINT) AS comp, x / d AS w
+  FROM loadings JOIN (SELECT i, d, row_number() OVER (ORDER BY i) AS place FROM scale) USING (place)
+)"""
     cv = "SELECT 'cv' AS step, alpha, round(mean_r2, 9) AS r2 FROM means UNION ALL" if len(alphas) > 1 else ""
     return f"""WITH RECURSIVE {sql.MODEL},
 rows AS MATERIALIZED (
@@ -96,20 +113,29 @@ fits AS (
   SELECT 5, alpha, alpha * n / sqrt(s / n), 'mllib' FROM grid, counts, centred
   WHERE counts.id = 5 AND centred.id = 5 AND i = {label} AND j = {label}
 ),
-scaled AS (
-  SELECT f.id, alpha, model, c.i, c.j,
-         c.s / a.d / coalesce(b.d, 1.0) + CASE WHEN c.i = c.j THEN penalty ELSE 0 END AS v
-  FROM fits f JOIN centred c ON c.id = f.id JOIN scale a ON a.i = c.i LEFT JOIN scale b ON b.i = c.j
+{basis},
+spread AS MATERIALIZED (
+  SELECT c.id, a.comp AS i, b.comp AS j, sum(a.w * b.w * c.s) AS s
+  FROM centred c JOIN basis a ON a.i = c.i JOIN basis b ON b.i = c.j GROUP BY ALL
+  UNION ALL
+  SELECT c.id, a.comp, {label}, sum(a.w * c.s) FROM centred c JOIN basis a ON a.i = c.i
+  WHERE c.j = {label} GROUP BY ALL
+),
+system_rows AS (
+  SELECT f.id, alpha, model, c.i,
+         list(c.s + CASE WHEN c.i = c.j THEN penalty ELSE 0 END ORDER BY c.j) AS row
+  FROM fits f JOIN spread c ON c.id = f.id GROUP BY f.id, alpha, model, c.i
 ),
-system_rows AS (SELECT id, alpha, model, i, list(v ORDER BY j) AS row FROM scaled GROUP BY id, alpha, model, i),
 sys AS (
   SELECT {{'set': id, 'alpha': alpha, 'model': model}} AS id, list(row ORDER BY i) AS m
   FROM system_rows GROUP BY id, alpha, model
 ),
 {sql.ELIMINATION},
 slopes AS MATERIALIZED (
-  SELECT solved.id.set AS id, solved.id.alpha AS alpha, solved.id.model AS model, i, beta / d AS b
-  FROM solved JOIN (SELECT i, d, row_number() OVER (ORDER BY i) AS pos FROM scale) USING (pos)
+  SELECT solved.id.set AS id, solved.id.alpha AS alpha, solved.id.model AS model, i, sum(beta * w) AS b
+  FROM solved JOIN (SELECT comp, row_number() OVER (ORDER BY comp) AS pos
+                    FROM (SELECT DISTINCT comp FROM basis)) USING (pos)
+  JOIN basis USING (comp) GROUP BY ALL
 ),
 -- (training set, set scored): a fold's complement on the fold, all training rows on the test rows
 scored AS (
@@ -168,7 +194,7 @@ def experiment3(spark, sf_dir):
     return _run(spark, sf_dir, "experiment3")
 
 
-@query()
+@query(_experiment_sql(6, components=10))
 def experiment4(spark, sf_dir):
     """With all categoricals, on the leading principal components."""
     return _run(spark, sf_dir, "experiment4")

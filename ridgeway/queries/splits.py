@@ -40,7 +40,8 @@ def assign_folds(spark, sf_dir):
 def fold_training_union(spark, sf_dir):
     """Training rows of one held-out fold, on a capped number of partitions."""
     rows = split.with_fold(lines(spark, sf_dir), LINE_KEYS, 5).select(*LINE_KEYS, "fold", "y")
-    train, _ = split.fold_complements(rows, 5, max_partitions=200)[2]
+    partitions = max(200, 4 * spark.sparkContext.defaultParallelism)
+    train, _ = split.fold_complements(rows, 5, max_partitions=partitions)[2]
     return train
 
 

@@ -89,3 +89,43 @@ def two_feature_fit(source: str, alpha: str, group: str = "", x1="l_extendedpric
                count(*) * covar_pop({x1}, {x2}) AS s12,
                count(*) * covar_pop({x1}, y) AS c1, count(*) * covar_pop({x2}, y) AS c2
         FROM {source} {by}))"""
+
+
+def principal_axes(matrix: str, k: int, squarings: int = 26) -> str:
+    """axes(comp, v, variance): leading axes of the symmetric list of rows in ``matrix``(m).
+
+    A power of the matrix, reached by repeated squaring, shows its leading axis;
+    then that axis is taken out and the search starts again.
+    """
+    last = squarings + 1
+    size = "list_sum(list_transform(pow, lambda q: list_dot_product(q, q)))"
+    longest = (
+        "list_extract(list_sort(list_transform(pow, lambda r: "
+        "{'size': list_dot_product(r, r), 'row': r}), 'DESC'), 1)"
+    )
+    variance = "list_dot_product(v, list_transform(a, lambda q: list_dot_product(q, v)))"
+    rest = (
+        "list_transform(a, lambda r, i: list_transform(r, lambda x, j: "
+        "x - v[i] * v[j] * variance))"
+    )
+    return f"""
+hunt AS (
+  SELECT 1 AS comp, 0 AS step, m AS a, m AS pow, m[1] AS v, 0.0::DOUBLE AS variance
+  FROM {matrix}
+  UNION ALL
+  SELECT CASE WHEN step = {last} THEN comp + 1 ELSE comp END,
+         CASE WHEN step = {last} THEN 0 ELSE step + 1 END,
+         CASE WHEN step = {last} THEN {rest} ELSE a END,
+         CASE WHEN step = {last} THEN {rest}
+              WHEN step < {squarings} THEN list_transform(pow, lambda r:
+                list_transform(pow, lambda c: list_dot_product(r, c) / total)) ELSE pow END,
+         CASE WHEN step = {squarings} THEN list_transform(top.row, lambda x: x / sqrt(top.size)) ELSE v END,
+         0.0
+  FROM (
+    SELECT comp, step, a, pow, v, {variance} AS variance,
+           CASE WHEN step < {squarings} THEN {size} END AS total,
+           CASE WHEN step = {squarings} THEN {longest} END AS top
+    FROM hunt WHERE step < {last} OR comp < {k}
+  )
+),
+axes AS (SELECT comp, v, {variance} AS variance FROM hunt WHERE step = {last})"""

@@ -232,12 +232,31 @@ def pca_explained_variance(spark, sf_dir):
     )
 
 
-@query()
+_EMBEDDING_AXES = f"""cells AS MATERIALIZED (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings
+),
+matrix_rows AS (
+  SELECT i, list(c ORDER BY j) AS row FROM (
+    SELECT a.pos AS i, b.pos AS j, covar_samp(a.x, b.x) AS c
+    FROM cells a JOIN cells b ON a.vec_id = b.vec_id GROUP BY ALL) GROUP BY i
+),
+matrix AS (SELECT list(row ORDER BY i) AS m FROM matrix_rows),
+{sql.principal_axes('matrix', 8)},
+signed AS (
+  SELECT comp, list_transform(v, lambda x: x * CASE
+    WHEN list_extract(list_sort(list_transform(v, lambda y: {{'size': abs(y), 'y': y}}), 'DESC'), 1).y < 0
+    THEN -1 ELSE 1 END) AS v FROM axes
+)"""
+
+
+@query(f"""WITH RECURSIVE {_EMBEDDING_AXES}
+SELECT vec_id, {", ".join(
+    f"round(max(CASE WHEN comp = {k} THEN list_dot_product(embedding::DOUBLE[], v) END), 6) AS pc{k}"
+    for k in range(1, 9))}
+FROM embeddings, signed GROUP BY vec_id""")
 def pca_embeddings(spark, sf_dir):
-    """Eight components of the 64-wide vectors: scores in long form."""
+    """Scores of the 64-wide vectors on eight components."""
     rows = table(spark, sf_dir, "embeddings")
     axes = fit_pca(rows, 8, arrays=[("embedding", EMBEDDING_WIDTH)])
     scores = [f"pc{i + 1}" for i in range(axes.k)]
-    return axes.transform(rows).select(
-        "vec_id", *(F.round(c, 6).alias(c) for c in scores)
-    )
+    return axes.transform(rows).select("vec_id", *(F.round(c, 6).alias(c) for c in scores))
