@@ -24,12 +24,14 @@ def feature_pipeline(
     spec: FeatureSpec,
     pca_k: int | None = None,
     labels: Mapping[str, Sequence[str]] | None = None,
+    centre: bool = True,
 ) -> Pipeline:
     """Unfitted pipeline from raw columns to a ``features`` vector.
 
     One indexer for all coded columns and one scaler for all features: Spark
     fits each in a single aggregation, and scaling is column by column anyway.
-    With ``labels`` known, the indexer needs no pass of its own.
+    With ``labels`` known, the indexer needs no pass of its own. Centring makes
+    one-hot vectors dense; a model with an intercept is the same without it.
     """
     coded = [*spec.ordinals, *spec.categoricals]
     parts = [*spec.numericals, *(f"{c}_index" for c in spec.ordinals)]
@@ -48,7 +50,7 @@ def feature_pipeline(
     scaled = "features" if pca_k is None else "features_scaled"
     stages += [
         VectorAssembler(inputCols=parts, outputCol="features_raw", handleInvalid="keep"),
-        StandardScaler(inputCol="features_raw", outputCol=scaled, withMean=True, withStd=True),
+        StandardScaler(inputCol="features_raw", outputCol=scaled, withMean=centre, withStd=True),
     ]
     if pca_k is not None:
         stages.append(PCA(k=pca_k, inputCol=scaled, outputCol="features"))

@@ -55,6 +55,8 @@ LIVE_BYTES = 256 << 20
 # partial matrices that may reach the shuffle: some per core, or this volume
 TASKS_PER_CORE = 4
 PARTIAL_BYTES = 256 << 30
+# more tasks than any scan has: no bound is needed
+MANY_TASKS = 1_000_000
 # packed sums that one collect may bring to the driver
 COLLECT_BYTES = 256 << 20
 
@@ -301,9 +303,11 @@ def _arrow(df: DataFrame, design: Design, label: str | None, by: Sequence[str])
     rows = df.select(*wanted)
 
     cores = df.sparkSession.sparkContext.defaultParallelism
-    # narrow: bounds the partial matrices, which do not shrink with the rows of a
-    # task, without moving a row; small matrices leave the scan as it is
-    rows = rows.coalesce(max(TASKS_PER_CORE * cores, PARTIAL_BYTES // matrix_bytes))
+    tasks = max(TASKS_PER_CORE * cores, PARTIAL_BYTES // matrix_bytes)
+    if tasks < MANY_TASKS:
+        # a wide matrix costs the shuffle as much from a small task as from a large
+        # one; this merges tasks without moving a row
+        rows = rows.coalesce(tasks)
     if by and layout.max_live < 8:
         # wide matrices: meet one group after the other, so that few are live
         rows = rows.sortWithinPartitions("_group")

@@ -23,6 +23,7 @@ from pyspark.ml.param.shared import (
     Params,
     TypeConverters,
 )
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,14 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ridgeway.functions.linear import dot, linear_column
 from ridgeway.operators import solvers
-from ridgeway.operators.moments import Design, MomentTable, Moments, moments, native_sums
+from ridgeway.operators.moments import (
+    MAX_WIDTH,
+    Design,
+    Moments,
+    MomentTable,
+    moments,
+    native_sums,
+)
 
 
 @dataclass(frozen=True)
@@ -141,6 +149,27 @@ def alpha_to_regparam(alpha: float, n: float, label_std: float) -> float:
     return alpha * label_std / n
 
 
+def fit_ridge_iterative(df: DataFrame, features: str, label: str, alpha: float) -> LinearRegressionModel:
+    """The same problem by gradients, for vectors too wide for a Gram matrix.
+
+    Nothing of size p² is formed; sparse vectors stay sparse.
+    """
+    solvers.check_alpha(alpha)
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(label).alias("dev")).first()
+    if not stats["n"]:
+        raise ValueError("no rows to fit")
+    return LinearRegression(
+        featuresCol=features,
+        labelCol=label,
+        regParam=alpha_to_regparam(alpha, stats["n"], stats["dev"] or 0.0),
+        elasticNetParam=0.0,
+        standardization=False,
+        solver="l-bfgs",
+        maxIter=1000,
+        tol=1e-10,
+    ).fit(df)
+
+
 class _RidgeParams(HasFeaturesCol, HasLabelCol, HasPredictionCol):
     alpha = Param(Params._dummy(), "alpha", "penalty on the slopes", TypeConverters.toFloat)
 
@@ -161,10 +190,13 @@ class RidgeRegression(Estimator, _RidgeParams, DefaultParamsReadable, DefaultPar
         solvers.check_alpha(self.getAlpha())
         column = self.getFeaturesCol()
         width = vector_width(dataset, column)
+        if width > MAX_WIDTH:
+            found = fit_ridge_iterative(dataset, column, self.getLabelCol(), self.getAlpha())
+            slopes = found.coefficients.toArray().tolist()
+            return self._copyValues(RidgeRegressionModel(float(found.intercept), slopes))
         design = Design(arrays=((column, width),))
         fit = fit_moments(only_moments(moments(dataset, design, self.getLabelCol())), self.getAlpha())
-        model = RidgeRegressionModel(intercept=fit.intercept, slopes=fit.slopes.tolist())
-        return self._copyValues(model)
+        return self._copyValues(RidgeRegressionModel(fit.intercept, fit.slopes.tolist()))
 
 
 class RidgeRegressionModel(Model, _RidgeParams, DefaultParamsReadable, DefaultParamsWritable):

@@ -2,8 +2,9 @@
 
 The rows are read for two aggregations only: label frequencies of the coded
 columns, and second moments per fold (the test rows being one more group). All
-fits and scores follow from the moments. The comparison with Spark's own
-LinearRegression is a third step that can be left out.
+fits and scores follow from the moments. Designs too wide for that are fitted
+iteratively instead. The comparison with Spark's own LinearRegression is a third
+step that can be left out.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from functools import reduce
 from operator import add
 
 import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +23,8 @@ from ridgeway.operators.columns import FeatureSpec, random_subset
 from ridgeway.operators.crossval import ALPHAS, best_alpha, mean_scores, score_folds
 from ridgeway.operators.encode import fit_labels, predict_design
 from ridgeway.operators.mllib import feature_pipeline, linear_regression, r2_on
-from ridgeway.operators.moments import Design, Moments, moments
-from ridgeway.operators.ridge import LinearFit, fit_moments, r2_from_moments
+from ridgeway.operators.moments import MAX_WIDTH, Design, Moments, moments
+from ridgeway.operators.ridge import LinearFit, fit_moments, fit_ridge_iterative, r2_from_moments
 from ridgeway.operators.rows import drop_null_label, fill_nulls
 from ridgeway.operators.solvers import principal_axes
 from ridgeway.operators.split import fold_index, split_index
@@ -31,6 +33,10 @@ from ridgeway.sources.stage import reused, staged
 TEST_PART = -1
 RESULT_SCHEMA = "step string, alpha double, r2 double"
 
+FoldScore = tuple[float, int, float | None]
+# scores on the folds, the penalty chosen, the model, its score on the test rows
+Outcome = tuple[list[FoldScore], float, "LinearFit", float | None]
+
 
 @dataclass(frozen=True)
 class Preset:
@@ -68,7 +74,7 @@ PRESETS = {
 class ExperimentResult:
     name: str
     design: Design
-    fold_scores: list[tuple[float, int, float | None]]
+    fold_scores: list[FoldScore]
     alpha: float
     fit: LinearFit
     ridge_r2: float | None
@@ -169,36 +175,70 @@ def _run(
     train_rows = rows.filter(F.col("part") != TEST_PART)
     test_rows = rows.filter(F.col("part") == TEST_PART)
     design = make_design(train_rows, spec)
-    found = moments(rows, design, spec.label, by=["part"]).collect()
-    per_part = {group[0]: m for group, m in found.items()}
-    test = per_part.pop(TEST_PART, None)
-    if not per_part:
-        raise ValueError("no training rows")
-    train = reduce(add, per_part.values())
-
-    basis = scale_basis(train, preset.pca_k)
-    scores: list[tuple[float, int, float | None]] = []
-    alpha = preset.alphas[0]
-    if len(preset.alphas) > 1:
-        rule = (lambda m: scale_basis(m, preset.pca_k)) if refit_per_fold else basis
-        scores = score_folds(per_part, preset.alphas, rule)
-        alpha = best_alpha(mean_scores(scores))
+    used = spec.with_categoricals(design.categoricals)
+    width = len(design.terms)
+    pca_k = preset.pca_k and min(preset.pca_k, width)
+
+    if width > MAX_WIDTH:
+        if pca_k or refit_per_fold:
+            raise ValueError(f"{width} features are too wide for a covariance matrix")
+        fitted = feature_pipeline(used, labels=design.labels, centre=False).fit(train_rows)
+        scores, alpha, fit, ridge_r2 = _fit_wide(fitted, rows, design, spec.label, preset.alphas)
+    else:
+        table = moments(rows, design, spec.label, by=["part"])
+        per_part = {group[0]: m for group, m in table.collect().items()}
+        scores, alpha, fit, ridge_r2 = _fit_moments(per_part, preset.alphas, pca_k, refit_per_fold)
 
-    fit = fit_moments(train, alpha, basis)
     mllib_r2 = None
     if compare:
-        used = spec.with_categoricals(design.categoricals)
-        pca_k = preset.pca_k and min(preset.pca_k, train.p)
-        features = feature_pipeline(used, pca_k, design.labels).fit(train_rows)
+        features = feature_pipeline(used, pca_k, design.labels, centre=False).fit(train_rows)
         model = linear_regression(features.transform(train_rows), spec.label, alpha)
         mllib_r2 = r2_on(model, features.transform(test_rows), spec.label)
-    return ExperimentResult(
-        preset.name,
-        design,
-        scores,
-        alpha,
-        fit,
-        r2_from_moments(test, fit) if test else None,
-        mllib_r2,
-        compare,
+    return ExperimentResult(preset.name, design, scores, alpha, fit, ridge_r2, mllib_r2, compare)
+
+
+def _fit_moments(
+    per_part: dict[int, Moments], alphas: Sequence[float], pca_k: int | None, refit_per_fold: bool
+) -> Outcome:
+    """Penalty, model and test score from the moments of the parts."""
+    per_fold = {part: m for part, m in per_part.items() if part != TEST_PART}
+    if not per_fold:
+        raise ValueError("no training rows")
+    train = reduce(add, per_fold.values())
+    basis = scale_basis(train, pca_k)
+    scores: list[FoldScore] = []
+    alpha = alphas[0]
+    if len(alphas) > 1:
+        rule = (lambda m: scale_basis(m, pca_k)) if refit_per_fold else basis
+        scores = score_folds(per_fold, alphas, rule)
+        alpha = best_alpha(mean_scores(scores))
+    fit = fit_moments(train, alpha, basis)
+    test = per_part.get(TEST_PART)
+    return scores, alpha, fit, r2_from_moments(test, fit) if test else None
+
+
+def _fit_wide(
+    fitted: PipelineModel, rows: DataFrame, design: Design, label: str, alphas: Sequence[float]
+) -> Outcome:
+    """The same by iterative fits on sparse vectors, one per penalty and fold."""
+    vectors = fitted.transform(rows).select("part", label, "features")
+    train = vectors.filter(F.col("part") != TEST_PART)
+    scores: list[FoldScore] = []
+    alpha = alphas[0]
+    if len(alphas) > 1:
+        parts = [r["part"] for r in train.select("part").distinct().collect()]
+        for candidate in alphas:
+            for fold in sorted(parts):
+                model = fit_ridge_iterative(
+                    train.filter(F.col("part") != fold), "features", label, candidate
+                )
+                held_out = train.filter(F.col("part") == fold)
+                scores.append((float(candidate), fold, r2_on(model, held_out, label)))
+        alpha = best_alpha(mean_scores(scores))
+    model = fit_ridge_iterative(train, "features", label, alpha)
+    deviations = fitted.stages[-1].std.toArray()
+    slopes = np.divide(
+        model.coefficients.toArray(), deviations, out=np.zeros_like(deviations), where=deviations > 0
     )
+    fit = LinearFit(design.terms, float(model.intercept), slopes)
+    return scores, alpha, fit, r2_on(model, vectors.filter(F.col("part") == TEST_PART), label)
