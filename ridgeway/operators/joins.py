@@ -13,14 +13,21 @@ from ridgeway.sources.stage import staged
 
 
 def join_tables(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    strategy: str | None = None,
 ) -> DataFrame:
     """Join on equally named columns, which appear once in the result.
 
-    No hint is given: Spark broadcasts a side only below its checked size
+    Without a strategy Spark broadcasts a side only below its checked size
     threshold, and otherwise sorts and merges, where the adaptive planner cuts
-    the partitions of a hot key into pieces.
+    the partitions of a hot key into pieces. ``strategy`` ('merge', …) is passed
+    on as a hint where sizes are known to be estimated badly.
     """
+    if strategy is not None:
+        right = right.hint(strategy)
     return left.join(right, on=list(on), how=how)
 
 
