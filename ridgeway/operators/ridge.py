@@ -165,8 +165,8 @@ def fit_ridge_iterative(df: DataFrame, features: str, label: str, alpha: float)
         elasticNetParam=0.0,
         standardization=False,
         solver="l-bfgs",
-        maxIter=1000,
-        tol=1e-10,
+        maxIter=300,
+        tol=1e-9,
     ).fit(df)
 
 

@@ -205,7 +205,7 @@ def test_vector_sum(spark):
     assert [tuple(r) for r in ops.vector_sum(df, "v", 2).collect()] == [(0, 4.0), (1, 6.0)]
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.integers(1, 40), st.integers(1, 20), st.integers(1, 5))
 def test_any_shape(spark, n, p, partitions):
     rng = np.random.default_rng(n * 100 + p)
