@@ -16,6 +16,9 @@ from ridgeway.operators.ridge import LinearFit
 # labels that may be held by the driver and sent to every task
 MAX_LABELS = 200_000
 
+# labels of a column that is looked up together with others
+FEW_LABELS = 2_000
+
 # rank order of labels; ties of frequency go to the smaller string
 LABEL_ORDERS: Mapping[str, tuple[str, ...]] = {
     "frequencyDesc": ("-count", "value"),
@@ -107,25 +110,44 @@ def index_with(
     df: DataFrame, labels: Mapping[str, Sequence[str]], suffix: str = "_index"
 ) -> DataFrame:
     """Index columns whose labels are known, with Spark's own lookup."""
-    for model in index_models(labels, suffix):
+    few = {c: v for c, v in labels.items() if len(v) <= FEW_LABELS}
+    if few:
+        df = _index_together(df, few, suffix)
+    for column in labels.keys() - few.keys():
+        model = StringIndexerModel.from_labels(
+            list(labels[column]), inputCol=column, outputCol=column + suffix, handleInvalid="keep"
+        )
         df = model.transform(df)
     return df
 
 
-def index_models(
-    labels: Mapping[str, Sequence[str]], suffix: str = "_index"
-) -> list[StringIndexerModel]:
-    """One fitted indexer per column.
+def _index_together(df: DataFrame, labels: Mapping[str, Sequence[str]], suffix: str) -> DataFrame:
+    """One indexer for many columns: a chain of one per column takes long to plan.
 
-    Not one for all: label lists of unequal length reach the JVM filled up with
-    nulls, which would count as labels.
+    Label lists must reach the JVM at equal length, or it fills them up with
+    nulls that count as labels. They are filled here with strings longer than
+    any label, and the rank of unknown values is put right afterwards.
     """
-    return [
-        StringIndexerModel.from_labels(
-            list(values), inputCol=column, outputCol=column + suffix, handleInvalid="keep"
-        )
-        for column, values in labels.items()
-    ]
+    length = max(1, *(len(v) for v in labels.values()))
+    mark = "\0" * (1 + max((len(x) for v in labels.values() for x in v), default=0))
+    filled = [[*v, *(f"{mark}{i}" for i in range(length - len(v)))] for v in labels.values()]
+    model = StringIndexerModel.from_arrays_of_labels(
+        filled,
+        inputCols=list(labels),
+        outputCols=[f"_{c}{suffix}" for c in labels],
+        handleInvalid="keep",
+    )
+
+    def ranked(column: str, values: Sequence[str]) -> Column:
+        rank = F.col(f"_{column}{suffix}")
+        rank = F.when(rank == length, F.lit(float(len(values)))).otherwise(rank)
+        attribute = {"type": "nominal", "name": column + suffix, "vals": [*values, "__unknown"]}
+        return rank.alias(column + suffix, metadata={"ml_attr": attribute})
+
+    found = model.transform(df)
+    return found.select("*", *(ranked(c, v) for c, v in labels.items())).drop(
+        *(f"_{c}{suffix}" for c in labels)
+    )
 
 
 def _index_by_join(df: DataFrame, column: str, ranks: DataFrame, suffix: str) -> DataFrame:

@@ -2,46 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (
-    PCA,
-    OneHotEncoder,
-    StandardScaler,
-    StringIndexer,
-    VectorAssembler,
-)
+from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 
 from ridgeway.operators.columns import FeatureSpec
-from ridgeway.operators.encode import index_models
 from ridgeway.operators.metrics import r2
 
 
 def feature_pipeline(
     spec: FeatureSpec,
     pca_k: int | None = None,
-    labels: Mapping[str, Sequence[str]] | None = None,
     centre: bool = True,
 ) -> Pipeline:
     """Unfitted pipeline from raw columns to a ``features`` vector.
 
     One indexer for all coded columns and one scaler for all features: Spark
     fits each in a single aggregation, and scaling is column by column anyway.
-    With ``labels`` known, the indexer needs no pass of its own. Centring makes
-    one-hot vectors dense; a model with an intercept is the same without it.
+    Centring makes one-hot vectors dense; a model with an intercept is the same
+    without it.
     """
     coded = [*spec.ordinals, *spec.categoricals]
     parts = [*spec.numericals, *(f"{c}_index" for c in spec.ordinals)]
     stages: list = []
     if coded:
         indices = [f"{c}_index" for c in coded]
-        if labels is None:
-            stages.append(StringIndexer(inputCols=coded, outputCols=indices, handleInvalid="keep"))
-        else:
-            stages += index_models({c: labels[c] for c in coded})
+        stages.append(StringIndexer(inputCols=coded, outputCols=indices, handleInvalid="keep"))
     if spec.categoricals:
         indices = [f"{c}_index" for c in spec.categoricals]
         slots = [f"{c}_onehot" for c in spec.categoricals]

@@ -182,7 +182,7 @@ def _run(
     if width > MAX_WIDTH:
         if pca_k or refit_per_fold:
             raise ValueError(f"{width} features are too wide for a covariance matrix")
-        fitted = feature_pipeline(used, labels=design.labels, centre=False).fit(train_rows)
+        fitted = feature_pipeline(used, centre=False).fit(train_rows)
         scores, alpha, fit, ridge_r2 = _fit_wide(fitted, rows, design, spec.label, preset.alphas)
     else:
         table = moments(rows, design, spec.label, by=["part"])
@@ -191,7 +191,7 @@ def _run(
 
     mllib_r2 = None
     if compare:
-        features = feature_pipeline(used, pca_k, design.labels, centre=False).fit(train_rows)
+        features = feature_pipeline(used, pca_k, centre=False).fit(train_rows)
         model = linear_regression(features.transform(train_rows), spec.label, alpha)
         mllib_r2 = r2_on(model, features.transform(test_rows), spec.label)
     return ExperimentResult(preset.name, design, scores, alpha, fit, ridge_r2, mllib_r2, compare)

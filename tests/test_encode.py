@@ -80,11 +80,27 @@ def test_assembled_nulls_are_nan_or_an_error(spark):
         encode.assemble(df, ["a", "b"], "v", invalid="error").collect()
 
 
-def test_known_labels_give_the_same_pipeline(letters):
+def test_sparse_features_are_the_same_up_to_a_shift(letters):
     rows = letters.withColumn("x", F.col("id") * 1.5)
     spec = FeatureSpec("id", ("x",), ("n",), ("s",))
-    labels = encode.fit_labels(rows, ["n", "s"])
-    fitted = feature_pipeline(spec).fit(rows).transform(rows)
-    given = feature_pipeline(spec, labels=labels).fit(rows).transform(rows)
-    for a, b in zip(fitted.orderBy("id").collect(), given.orderBy("id").collect()):
-        assert np.allclose(a.features.toArray(), b.features.toArray())
+    dense = feature_pipeline(spec).fit(rows).transform(rows).orderBy("id").collect()
+    sparse = feature_pipeline(spec, centre=False).fit(rows).transform(rows).orderBy("id").collect()
+    shift = np.array([a.features.toArray() - b.features.toArray() for a, b in zip(dense, sparse)])
+    assert np.allclose(shift, shift[0])
+
+
+@pytest.mark.parametrize("few", [2_000, 3, 0])
+def test_columns_are_looked_up_together_or_alone(letters, monkeypatch, few):
+    monkeypatch.setattr(encode, "FEW_LABELS", few)
+    labels = {"s": ("c", "a"), "n": ("0", "1", "2")}
+    found = encode.index_with(letters, labels)
+    want = {"c": 0.0, "a": 1.0}
+    for r in found.collect():
+        assert r.s_index == want.get(r.s, 2.0) and r.n_index == float(r.n)
+    assert set(found.columns) == {"id", "s", "n", "s_index", "n_index"}
+    assert found.schema["s_index"].metadata["ml_attr"]["vals"] == ["c", "a", "__unknown"]
+
+
+def test_a_column_without_labels_is_unknown_throughout(letters):
+    found = encode.index_with(letters, {"s": (), "n": ("0", "1", "2")})
+    assert {r.s_index for r in found.collect()} == {0.0}
