@@ -15,7 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK = 64
+# rows of a block, and what its numbers and their products' addresses may take
 ROWS_PER_BLOCK = 32768
+BLOCK_BYTES = 64 << 20
 CHUNKS_PER_BATCH = 4096
 
 
@@ -46,6 +48,12 @@ class BlockLayout:
     def slot_widths(self) -> list[int]:
         return [len(self.labels[c]) + 1 for c in self.categoricals]
 
+    @property
+    def rows_per_block(self) -> int:
+        coded = len(self.categoricals)
+        per_row = 8 * (2 * self.dense_width + 3 * coded)
+        return max(1, min(ROWS_PER_BLOCK, BLOCK_BYTES // per_row))
+
     @property
     def size(self) -> int:
         return self.dense_width + sum(self.slot_widths)
@@ -141,16 +149,22 @@ def packed_batches(group: object, total: np.ndarray, schema: pa.Schema):
 
 
 def blocks(batches, rows: int):
-    """Arrow batches joined into larger ones, so that the products pay off."""
+    """Arrow batches joined to blocks of ``rows`` rows, so that the products pay off."""
     held, count = [], 0
     for batch in batches:
         held.append(batch)
         count += batch.num_rows
         if count >= rows:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            yield from cut(held, rows)
             held, count = [], 0
     if count:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        yield from cut(held, rows)
+
+
+def cut(batches: list[pa.RecordBatch], rows: int):
+    for batch in pa.Table.from_batches(batches).combine_chunks().to_batches():
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def partial_sums(layout: BlockLayout, schema: pa.Schema):
@@ -159,7 +173,7 @@ def partial_sums(layout: BlockLayout, schema: pa.Schema):
     def run(batches):
         live: dict[object, np.ndarray] = {}
         widths = layout.slot_widths
-        for batch in blocks(batches, ROWS_PER_BLOCK):
+        for batch in blocks(batches, layout.rows_per_block):
             dense, codes = dense_block(batch, layout), code_block(batch, layout)
             for group, rows in group_spans(batch.column(layout.group)):
                 if group not in live and len(live) >= layout.max_live:

@@ -16,8 +16,8 @@ from ridgeway.queries.tables import LINE_KEYS, SPEC, lines, model_rows, table
 
 
 @query(f"""WITH {sql.MODEL}
-SELECT {sql.KEYS}, round((l_extendedprice - m1) / d1, 9) AS l_extendedprice_std,
-       round((p_size - m2) / d2, 9) AS p_size_std, 0.0::DOUBLE AS constant_std
+SELECT {sql.KEYS}, round((l_extendedprice - m1) / d1, 6) AS l_extendedprice_std,
+       round((p_size - m2) / d2, 6) AS p_size_std, 0.0::DOUBLE AS constant_std
 FROM model, (SELECT avg(l_extendedprice) AS m1, stddev_samp(l_extendedprice) AS d1,
                     avg(p_size) AS m2, stddev_samp(p_size) AS d2 FROM model WHERE is_train)""")
 def standardize_numeric(spark, sf_dir):
@@ -25,19 +25,19 @@ def standardize_numeric(spark, sf_dir):
     rows = with_train_flag(model_rows(spark, sf_dir), LINE_KEYS).withColumn("constant", F.lit(5.1))
     columns = ["l_extendedprice", "p_size", "constant"]
     scaled = standardize(rows, columns, fit_on=rows.filter("is_train"))
-    return scaled.select(*LINE_KEYS, *(F.round(f"{c}_std", 9).alias(f"{c}_std") for c in columns))
+    return scaled.select(*LINE_KEYS, *(F.round(f"{c}_std", 6).alias(f"{c}_std") for c in columns))
 
 
 @query(f"""WITH {sql.MODEL},
 ranks AS ({sql.ranked_labels('model', 'o_orderpriority')}),
 indexed AS (SELECT {sql.KEYS}, r FROM model JOIN ranks ON o_orderpriority = v)
-SELECT {sql.KEYS}, round((r - m) / d, 9) AS o_orderpriority_index_std
+SELECT {sql.KEYS}, round((r - m) / d, 6) AS o_orderpriority_index_std
 FROM indexed, (SELECT avg(r) AS m, stddev_samp(r) AS d FROM indexed)""")
 def standardize_ordinal(spark, sf_dir):
     """An ordinal is its frequency rank, then scaled."""
     indexed = index_strings(model_rows(spark, sf_dir), ["o_orderpriority"])
     scaled = standardize(indexed, ["o_orderpriority_index"])
-    value = F.round("o_orderpriority_index_std", 9).alias("o_orderpriority_index_std")
+    value = F.round("o_orderpriority_index_std", 6).alias("o_orderpriority_index_std")
     return scaled.select(*LINE_KEYS, value)
 
 
@@ -114,7 +114,7 @@ scale AS (
   FROM indexed WHERE is_train
 )
 SELECT {sql.KEYS}, is_train,
-  {", ".join(f"round(({c} - m{i}) / d{i}, 8) AS f{i}" for i, c in enumerate(_DENSE))}
+  {", ".join(f"round(({c} - m{i}) / d{i}, 6) AS f{i}" for i, c in enumerate(_DENSE))}
 FROM indexed, scale""")
 def feature_pipeline(spark, sf_dir):
     """Numericals and ordinals through the Spark ML pipeline, fitted on the training rows."""
@@ -124,5 +124,5 @@ def feature_pipeline(spark, sf_dir):
     values = vector_to_array(F.col("features"))
     width = len(spec.numericals) + len(spec.ordinals)
     return model.transform(rows).select(
-        *LINE_KEYS, "is_train", *(F.round(values[i], 8).alias(f"f{i}") for i in range(width))
+        *LINE_KEYS, "is_train", *(F.round(values[i], 6).alias(f"f{i}") for i in range(width))
     )

@@ -93,12 +93,12 @@ def ridge_fit_grouped(spark, sf_dir):
 
 
 @query(f"""{_TRAIN}
-SELECT {sql.KEYS}, round(b0 + b1 * l_extendedprice + b2 * l_discount, 4) AS prediction
+SELECT {sql.KEYS}, round(b0 + b1 * l_extendedprice + b2 * l_discount, 2) AS prediction
 FROM lines, fit WHERE NOT is_train""")
 def predict_ridge(spark, sf_dir):
     train, test = train_and_test(spark, sf_dir)
     scored = fit_ridge(train, TWO, "y", ALPHA).predict(test)
-    return scored.select(*LINE_KEYS, F.round("prediction", 4).alias("prediction"))
+    return scored.select(*LINE_KEYS, F.round("prediction", 2).alias("prediction"))
 
 
 def _cv_sql() -> str:

@@ -208,16 +208,16 @@ signed AS (
 
 
 @query(f"""WITH {sql.LINES}, {_PCA}
-SELECT {sql.KEYS}, round(u * l_extendedprice + w * y, 3) AS pc1,
+SELECT {sql.KEYS}, round(u * l_extendedprice + w * y, 2) AS pc1,
        round(CASE WHEN abs(u) >= abs(w) THEN -w ELSE w END * l_extendedprice
-             + CASE WHEN abs(u) >= abs(w) THEN u ELSE -u END * y, 3) AS pc2
+             + CASE WHEN abs(u) >= abs(w) THEN u ELSE -u END * y, 2) AS pc2
 FROM lines, signed""")
 def pca_2d(spark, sf_dir):
     """Rows projected on both axes; not centred; largest loading positive."""
     rows = lines(spark, sf_dir)
     axes = fit_pca(rows, 2, numericals=["l_extendedprice", "y"])
     return axes.transform(rows).select(
-        *LINE_KEYS, F.round("pc1", 3).alias("pc1"), F.round("pc2", 3).alias("pc2")
+        *LINE_KEYS, F.round("pc1", 2).alias("pc1"), F.round("pc2", 2).alias("pc2")
     )
 
 

@@ -76,6 +76,9 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     returned as they are: no shuffle is added to them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= cores:
+    partitions = df.rdd.getNumPartitions()
+    # a split without a row group's start is empty, so few files may fill fewer tasks;
+    # of a large table the files are not even listed
+    if partitions >= 8 * cores or (partitions >= cores and len(df.inputFiles()) >= cores):
         return df
     return df.repartition(cores, *keys)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -136,9 +137,10 @@ def dense_rows(rows, design):
     return np.array(out)
 
 
-@pytest.mark.parametrize("live_bytes", [1 << 20, 1])
-def test_one_hot_sums_match_dense_ones(spark, monkeypatch, live_bytes):
+@pytest.mark.parametrize("live_bytes, block_rows", [(1 << 20, 32768), (1, 32768), (1 << 20, 7)])
+def test_one_hot_sums_match_dense_ones(spark, monkeypatch, live_bytes, block_rows):
     monkeypatch.setattr(ops, "LIVE_BYTES", live_bytes)
+    monkeypatch.setattr(ops.partials, "ROWS_PER_BLOCK", block_rows)
     df = coded_frame(spark).repartition(3)
     known = df.filter("s <> 's3' OR s IS NULL")  # s3 is unseen
     design = Design(("x",), ("i",), ("s", "d"), labels=fit_labels(known, ["s", "i", "d"]))
@@ -205,6 +207,14 @@ def test_vector_sum(spark):
     assert [tuple(r) for r in ops.vector_sum(df, "v", 2).collect()] == [(0, 4.0), (1, 6.0)]
 
 
+def test_blocks_hold_every_row_once():
+    batches = [pa.RecordBatch.from_pydict({"v": list(range(a, a + n))}) for a, n in [(0, 3), (3, 1), (4, 9), (13, 2)]]
+    for rows in (1, 4, 5, 100):
+        found = list(ops.partials.blocks(iter(batches), rows))
+        assert [v for b in found for v in b.column("v").to_pylist()] == list(range(15))
+        assert max(b.num_rows for b in found) <= rows
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.integers(1, 40), st.integers(1, 20), st.integers(1, 5))
 def test_any_shape(spark, n, p, partitions):
