@@ -12,7 +12,8 @@ from ridgeway.operators.mllib import feature_pipeline as build_pipeline
 from ridgeway.operators.split import with_train_flag
 from ridgeway.queries import sql
 from ridgeway.queries.registry import query
-from ridgeway.queries.tables import LINE_KEYS, SPEC, lines, model_rows, table
+from ridgeway.queries.tables import LINE_KEYS, SPEC, lines, model_rows
+from ridgeway.sources.stage import reused
 
 
 @query(f"""WITH {sql.MODEL}
@@ -120,7 +121,8 @@ def feature_pipeline(spark, sf_dir):
     """Numericals and ordinals through the Spark ML pipeline, fitted on the training rows."""
     spec = FeatureSpec("y", SPEC.numericals, SPEC.ordinals)
     rows = with_train_flag(model_rows(spark, sf_dir), LINE_KEYS)
-    model = build_pipeline(spec).fit(rows.filter("is_train"))
+    with reused(rows.filter("is_train").select(*spec.features)) as train:
+        model = build_pipeline(spec).fit(train)
     values = vector_to_array(F.col("features"))
     width = len(spec.numericals) + len(spec.ordinals)
     return model.transform(rows).select(

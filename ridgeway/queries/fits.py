@@ -16,6 +16,7 @@ from ridgeway.operators.split import random_split, with_fold
 from ridgeway.queries import sql
 from ridgeway.queries.registry import query
 from ridgeway.queries.tables import LINE_KEYS, SPEC, lines, model_rows, significant
+from ridgeway.sources.stage import reused
 
 TWO = ("l_extendedprice", "l_discount")
 ALPHA = 0.1
@@ -136,12 +137,15 @@ def select_alpha(spark, sf_dir):
     return best.select("alpha", F.round("mean_r2", 9).alias("mean_r2"))
 
 
-def _mllib_fit(spark, sf_dir):
+def _both_fits(spark, sf_dir):
+    """Ridge and Spark's own model on the same training rows, which are prepared once."""
     train, test = train_and_test(spark, sf_dir)
-    stats = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("y").alias("dev")).first()
-    penalty = alpha_to_regparam(ALPHA, stats["n"], stats["dev"])
-    vectors = assemble(train, TWO, "features")
-    return train, test, mllib.linear_regression(vectors, "y", penalty, solver="normal")
+    with reused(train.select("y", *TWO)) as rows:
+        stats = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("y").alias("dev")).first()
+        penalty = alpha_to_regparam(ALPHA, stats["n"], stats["dev"])
+        vectors = assemble(rows, TWO, "features")
+        other = mllib.linear_regression(vectors, "y", penalty, solver="normal")
+        return fit_ridge(rows, TWO, "y", ALPHA), other, test
 
 
 @query(f"""{_TRAIN}
@@ -150,7 +154,7 @@ UNION ALL SELECT 'l_extendedprice', {sql.significant('b1', 5)} FROM fit
 UNION ALL SELECT 'l_discount', {sql.significant('b2', 5)} FROM fit""")
 def mllib_linear_regression(spark, sf_dir):
     """Spark's LinearRegression at the converted penalty finds the same coefficients."""
-    _, _, model = _mllib_fit(spark, sf_dir)
+    _, model, _ = _both_fits(spark, sf_dir)
     rows = [("(intercept)", float(model.intercept))]
     rows += [(t, float(b)) for t, b in zip(TWO, model.coefficients)]
     frame = spark.createDataFrame(rows, "term string, coefficient double")
@@ -165,8 +169,8 @@ SELECT 'ridge' AS model, n, round(r2, 8) AS r2 FROM scored
 UNION ALL SELECT 'mllib', n, round(r2, 8) FROM scored""")
 def model_comparison(spark, sf_dir):
     """Both models scored on the test rows in one aggregation."""
-    train, test, other = _mllib_fit(spark, sf_dir)
-    scored = fit_ridge(train, TWO, "y", ALPHA).predict(test, "ridge")
+    ridge, other, test = _both_fits(spark, sf_dir)
+    scored = ridge.predict(test, "ridge")
     scored = other.setPredictionCol("mllib").transform(assemble(scored, TWO, "features"))
     long = scored.unpivot(["y"], ["ridge", "mllib"], "model", "prediction")
     both = metrics.regression_metrics(long, "y", "prediction", ["model"])
