@@ -6,7 +6,8 @@ import os
 
 import pytest
 
-import __spark_entry__ as catalog
+import __spark_entry__ as entry_point
+from ridgeway import queries as catalog
 from compare import connect, differences
 
 SF_DIR = os.environ.get("RIDGEWAY_TEST_SF", "/root/testdata/sf0.001")
@@ -28,5 +29,5 @@ def test_query(spark, con, name):
 
 
 def test_entry(spark):
-    df = catalog.entry(spark)
+    df = entry_point.entry(spark)
     assert df.columns == ["alpha", "fold", "r2"] and df.count() == 15
