@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import simhash
+from ridgeway.llm import decontaminate, simhash, sql_twins
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,9 +16,16 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, sf_dir, "documents"), width=3, radius=3)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_simhash_dedup": op1_simhash_dedup}
+    return {
+        "op1_simhash_dedup": op1_simhash_dedup,
+        "op2_decontamination": op2_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_decontamination": sql_twins.OP2}
