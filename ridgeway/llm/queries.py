@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import decontaminate, simhash, sql_twins
+from ridgeway.llm import decontaminate, shard, simhash, sql_twins
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,15 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard.shards(read(spark, sf_dir, "documents"), weights=(1.0,) * 16)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_decontamination": op2_decontamination,
+        "op9_sharding": op9_sharding,
     }
 
 
