@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import decontaminate, shard, simhash, sql_twins
+from ridgeway.llm import decontaminate, pack, shard, simhash, sql_twins
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,11 +24,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shards(read(spark, sf_dir, "documents"), weights=(1.0,) * 16)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(read(spark, sf_dir, "documents"), capacity=2048)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_decontamination": op2_decontamination,
         "op9_sharding": op9_sharding,
+        "op10_packing": op10_packing,
     }
 
 
