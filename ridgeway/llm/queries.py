@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import decontaminate, pack, shard, simhash, sql_twins
+from ridgeway.llm import decontaminate, pack, quality, shard, simhash, sql_twins
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,12 +28,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(read(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_decontamination": op2_decontamination,
         "op9_sharding": op9_sharding,
         "op10_packing": op10_packing,
+        "op5_quality_classifier": op5_quality_classifier,
     }
 
 
