@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import decontaminate, pack, quality, shard, simhash, sql_twins
+from ridgeway.llm import decontaminate, pack, quality, rules, shard, simhash, sql_twins
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -39,6 +43,7 @@ def queries() -> dict[str, Query]:
         "op9_sharding": op9_sharding,
         "op10_packing": op10_packing,
         "op5_quality_classifier": op5_quality_classifier,
+        "op6_quality_rules": op6_quality_rules,
     }
 
 
