@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import decontaminate, pack, quality, rules, shard, simhash, sql_twins
+from ridgeway.llm import decontaminate, language, pack, quality, rules, shard, simhash, sql_twins
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -44,6 +48,7 @@ def queries() -> dict[str, Query]:
         "op10_packing": op10_packing,
         "op5_quality_classifier": op5_quality_classifier,
         "op6_quality_rules": op6_quality_rules,
+        "op3_language_id": op3_language_id,
     }
 
 

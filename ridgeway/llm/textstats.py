@@ -42,9 +42,12 @@ class TextStats:
     def __init__(self, texts: pa.Array) -> None:
         self.data, self.bounds = raw_bytes(texts)
         self.n = len(texts)
-        sizes = np.diff(self.bounds)
-        owner = np.repeat(np.arange(self.n) * len(KINDS), sizes)
-        counts = np.bincount(owner + _KIND_OF[self.data], minlength=self.n * len(KINDS))
+        counts = np.zeros(self.n * len(KINDS), np.int64)
+        for a in range(0, len(self.data), wordhash.STEP):
+            part = self.data[a : a + wordhash.STEP]
+            sizes = np.diff(np.clip(self.bounds, a, a + len(part)))
+            owner = np.repeat(np.arange(self.n) * len(KINDS), sizes)
+            counts += np.bincount(owner + _KIND_OF[part], minlength=len(counts))
         self.kinds = dict(zip(KINDS, counts.reshape(self.n, len(KINDS)).T))
         self.starts, self.ends, self.owner = wordhash.spans(self.data, self.bounds, _NOT_SPACE)
         self.words = wordhash.hashes(self.data, self.starts, self.ends)

@@ -12,6 +12,9 @@ _BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0xD1342543DE82EF95
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
+#: Bytes that are hashed at once.
+STEP = 1 << 22
+
 #: Bytes that separate words at white space, and those outside words of letters and digits.
 SPACES = np.isin(np.arange(256), [32, *range(9, 14)])
 LETTERS = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
@@ -50,11 +53,20 @@ def spans(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each span; equal bytes have equal hashes wherever they are."""
-    power, inverse = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * power[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """A hash of the bytes of each span (in order); equal bytes have equal hashes wherever they are."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):  # so many spans at once as lie within STEP bytes, or one
+        low = int(starts[at])
+        upto = max(at + 1, int(np.searchsorted(ends, low + STEP, "right")))
+        part = data[low : int(ends[upto - 1])]
+        power, inverse = _powers(len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTES[part] * power[: len(part)], out=sums[1:])
+        a, b = starts[at:upto] - low, ends[at:upto] - low
+        out[at:upto] = mixed((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
+        at = upto
+    return out
 
 
 def grams(words: np.ndarray, k: int) -> np.ndarray:
