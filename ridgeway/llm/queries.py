@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import decontaminate, language, pack, quality, rules, shard, simhash, sql_twins
+from ridgeway.llm import decontaminate, language, pack, quality, rules, shard, simhash, sql_twins, urls
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(read(spark, sf_dir, "documents"))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_verdicts(read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -49,6 +53,7 @@ def queries() -> dict[str, Query]:
         "op5_quality_classifier": op5_quality_classifier,
         "op6_quality_rules": op6_quality_rules,
         "op3_language_id": op3_language_id,
+        "op8_url_filters": op8_url_filters,
     }
 
 
