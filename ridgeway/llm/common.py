@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ridgeway.sources.stage import staged
 
-__all__ = ["bounded_slices", "held_out", "raw_bytes", "read", "staged", "texts_as_bytes"]
+__all__ = ["bounded_slices", "fresh", "held_out", "raw_bytes", "read", "staged", "texts_as_bytes"]
 
 #: Bytes of text that one step of a vectorised function works on.
 SLICE_BYTES = 1 << 21
@@ -21,6 +21,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether labels of this document are kept from training; a null id counts as empty text."""
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

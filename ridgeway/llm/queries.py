@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import decontaminate, language, pack, quality, rules, shard, simhash, sql_twins, urls
+from ridgeway.llm import decontaminate, language, lines, pack, quality, rules, shard, simhash, sql_twins, urls
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(read(spark, sf_dir, "pages"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs, min_words=50, counts=("n_lines", "n_deleted"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -54,8 +59,9 @@ def queries() -> dict[str, Query]:
         "op6_quality_rules": op6_quality_rules,
         "op3_language_id": op3_language_id,
         "op8_url_filters": op8_url_filters,
+        "op7_line_dedup": op7_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": sql_twins.OP2}
+    return {"op2_decontamination": sql_twins.OP2, "op7_line_dedup": sql_twins.OP7}

@@ -33,3 +33,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
+
+OP7 = """
+WITH d AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
+), l AS (
+  SELECT doc_id, i, len(regexp_extract_all(lines[i], '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)
+), c AS (
+  SELECT doc_id, i, words, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM l
+), runs AS (
+  SELECT a.doc_id, a.i AS first, min(b.i) AS last
+  FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50 GROUP BY ALL
+  UNION
+  SELECT b.doc_id, max(a.i) AS first, b.i AS last
+  FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50 GROUP BY ALL
+), ordered AS (
+  SELECT doc_id, first, last,
+    row_number() OVER (PARTITION BY array_to_string(lines[first:last], chr(10)) ORDER BY doc_id, first) AS nth
+  FROM runs JOIN d USING (doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM ordered WHERE nth > 1
+), kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_deleted,
+    coalesce(string_agg(lines[l.i], chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') AS text
+  FROM l JOIN d ON l.doc_id = d.doc_id LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i
+  GROUP BY l.doc_id
+)
+SELECT doc_id, kept.text, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_deleted, 0)::BIGINT AS n_deleted
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
