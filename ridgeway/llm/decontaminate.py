@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ridgeway.llm import wordhash
-from ridgeway.llm.common import bounded_slices, raw_bytes, staged
+from ridgeway.llm.common import bounded_slices, fresh, raw_bytes, staged
 
 FILTER_BITS = 1 << 25
 HIT = "length int, hash long, at long, lead int, words array<string>"
@@ -226,12 +226,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_i
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The rows of ``docs`` without a hit word.
+    """The rows of ``docs``, all columns, without a hit word.
 
-    Rows are matched by doc_id and a hash of the text, which a text's hits depend on alone.
+    Whether a row goes depends on its text alone, so rows are matched by doc_id and the
+    text's hash.
     """
-    marked = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("_key"), "text")
-    found = contamination(marked, benchmark, window, doc_id="_key")
-    bad = found.where("contaminated").select("doc_id.*").distinct().toDF("_id", "_hash")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(bad, same, "left_anti")
+    key, bad = fresh(docs, "key"), fresh(docs, "bad")
+    keyed = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64(F.col("text").cast("string")))
+    keyed = keyed.cast(f"struct<none:boolean,id:{docs.schema['doc_id'].dataType.simpleString()},hash:bigint>")
+    found = contamination(docs.select(keyed.alias("doc_id"), "text"), benchmark, window)
+    gone = found.where("contaminated").select(F.col("doc_id").alias(bad)).distinct()
+    return docs.withColumn(key, keyed).join(gone, F.col(key) == F.col(bad), "left_anti").drop(key)

@@ -221,9 +221,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Add
     kind = sample.schema["doc_id"].dataType.simpleString()
     described = sample.mapInArrow(run, f"doc_id {kind}, label int, " + ", ".join(f"{f} double" for f in FEATURES))
     one_each = described.groupBy("doc_id").agg(F.min(F.struct("label", *FEATURES)).alias("row")).select("row.*")
-    table = one_each.orderBy("label", *FEATURES).toArrow()
+    table = one_each.toArrow()
     x = np.stack([table[f].to_numpy() for f in FEATURES], axis=1)
-    return AdditiveModel.fit(x, (table["label"].to_numpy() > 0).astype(float))
+    y = (table["label"].to_numpy() > 0).astype(float)
+    order = np.lexsort([*x.T, y])  # sums in the same order in every run
+    return AdditiveModel.fit(x[order], y[order])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:

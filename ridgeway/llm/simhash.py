@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeway.llm.common import bounded_slices, staged, texts_as_bytes
+from ridgeway.llm.common import bounded_slices, fresh, staged, texts_as_bytes
 from ridgeway.llm.components import components
 
 SEED = 42
@@ -252,13 +252,16 @@ def simhash_groups(
 
 
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the component_id of their group, one row each.
+    """One row of each group, all columns: the one whose doc_id is the least of the group.
 
-    Of repeated rows with the kept doc_id one stays; a group whose ids are all null keeps one row.
+    Of repeated rows and different texts of that id one stays, by the text's hash; of a
+    group without ids one text without an id.
     """
-    groups = simhash_groups(docs, width, radius)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    unique = docs.dropDuplicates(["doc_id"])
-    return unique.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept"))).select(
-        *docs.columns
-    )
+    names = docs.columns
+    key, kept = fresh(docs, "key"), fresh(docs, "kept")
+    keyed = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64(F.col("text").cast("string")))
+    keyed = keyed.cast(f"struct<none:boolean,id:{docs.schema['doc_id'].dataType.simpleString()},hash:bigint>")
+    groups = simhash_groups(docs.select(keyed.alias("doc_id"), "text"), width, radius)
+    first = groups.select(F.col("component_id").alias(kept)).distinct()
+    chosen = docs.withColumn(key, keyed).join(first, F.col(key) == F.col(kept))
+    return chosen.dropDuplicates([key]).select(*names)  # rows repeated as a whole
