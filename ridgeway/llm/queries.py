@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import decontaminate, language, lines, pack, quality, rules, shard, simhash, sql_twins, urls
+from ridgeway.llm import decontaminate, language, lines, pack, private, quality, rules, shard, simhash, sql_twins, urls
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs, min_words=50, counts=("n_lines", "n_deleted"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.private_spans(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -60,6 +64,7 @@ def queries() -> dict[str, Query]:
         "op3_language_id": op3_language_id,
         "op8_url_filters": op8_url_filters,
         "op7_line_dedup": op7_line_dedup,
+        "op4_personal_data": op4_personal_data,
     }
 
 

@@ -135,7 +135,7 @@ class HashedRegression:
                 bias_square += error.sum() ** 2
                 bias -= rate * error.sum() / np.sqrt(bias_square)
         z = np.add.reduceat(np.append(model.weights[slots] * shares, 0.0), bounds[:-1]) * (sizes > 0)
-        model.slope, model.offset = _calibrated(z[kept], y[kept])
+        model.slope, model.offset = calibrated(z[kept], y[kept])
         return model
 
 
@@ -143,22 +143,23 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _calibrated(z: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, float]:
+def calibrated(z: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, steps: int = 100) -> tuple[float, float]:
     """Slope and offset of the logistic curve of y over z, with smoothed targets (damped Newton)."""
-    up, down = y.sum(), len(y) - y.sum()
+    w = np.ones(len(z)) if weight is None else weight
+    up, down = (w * y).sum(), (w * (1 - y)).sum()
     target = np.where(y > 0, (up + 1) / (up + 2), 1 / (down + 2))
     unit = max(float(z.std()), 1e-9)
     x = np.stack([z / unit, np.ones(len(z))], axis=1)
 
     def loss(theta: np.ndarray) -> float:
         v = x @ theta
-        return float((np.logaddexp(0, v) - target * v).sum() + 5e-4 * theta @ theta)
+        return float((w * (np.logaddexp(0, v) - target * v)).sum() + 5e-4 * theta @ theta)
 
     theta = np.zeros(2)
     for _ in range(steps):
         p = _logistic(x @ theta)
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (target - p) - 1e-3 * theta)
+        h = (x * (w * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(h, x.T @ (w * (target - p)) - 1e-3 * theta)
         size = 1.0
         while size > 1e-6 and loss(theta + size * step) > loss(theta):
             size /= 2
