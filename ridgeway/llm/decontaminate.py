@@ -75,7 +75,7 @@ class _Texts:
         """(text number, hit) for kept k-grams whose hash ``wanted`` can have."""
         at, gram = kept_grams(self.words, self.owner, length)
         if wanted is not None:
-            slot = gram & np.uint64(FILTER_BITS - 1)
+            slot = gram & np.uint64(8 * len(wanted) - 1)
             keep = wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1 == 1
             at, gram = at[keep], gram[keep]
         if owners is not None:
@@ -121,13 +121,13 @@ def _hit_type() -> pa.StructType:
     )
 
 
-def _possible(grams: DataFrame) -> np.ndarray:
-    """The bit table of the benchmark's hashes, at most ``FILTER_BITS`` bits."""
+def _possible(grams: DataFrame, bits: int) -> np.ndarray:
+    """The table of ``bits`` bits (a power of two, 64 at least) of the benchmark's hashes."""
     slots = grams.selectExpr(
-        f"shiftright(hash & {FILTER_BITS - 1}L, 6) AS word", "shiftleft(1L, cast(hash & 63L AS int)) AS bit"
+        f"shiftright(hash & {bits - 1}L, 6) AS word", "shiftleft(1L, cast(hash & 63L AS int)) AS bit"
     )
     words = slots.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    table = np.zeros(FILTER_BITS // 64, np.uint64)
+    table = np.zeros(bits // 64, np.uint64)
     table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return table.astype("<u8").view(np.uint8)
 
@@ -159,14 +159,14 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def contaminated_words(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id"
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id", filter_bits: int = FILTER_BITS
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: (row, doc_id, n_words) of all documents; (row, item_id, begin, end) of runs of hit words."""
     spark: SparkSession = docs.sparkSession
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
     grams = staged(_item_grams(items, window), "benchmark")
     lengths = sorted(r[0] for r in grams.select("length").distinct().collect())  # at most ``window``
-    table = spark.sparkContext.broadcast(_possible(grams))
+    table = spark.sparkContext.broadcast(_possible(grams, filter_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in bounded_slices(batches):
@@ -198,9 +198,11 @@ def contaminated_words(
     return found.select("row", "doc_id", "n_words"), runs
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id") -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id", filter_bits: int = FILTER_BITS
+) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    rows, runs = contaminated_words(docs, benchmark, window, doc_id)
+    rows, runs = contaminated_words(docs, benchmark, window, doc_id, filter_bits)
     runs = staged(runs, "hits")
     before = Window.partitionBy("row").orderBy("begin", "end").rowsBetween(Window.unboundedPreceding, -1)
     new = F.col("end") - F.greatest("begin", F.coalesce(F.max("end").over(before), F.lit(0)))
