@@ -17,7 +17,8 @@ def _toward_least(links: DataFrame, larger: bool) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     near = both if larger else links.where("u > v")
     least = near.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    # written, so that the join has two plain inputs and Spark can split a hub's
+    least = staged(least.select("u", F.least("u", "m").alias("m")), "least")
     joined = near.join(least, "u")
     if larger:
         moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

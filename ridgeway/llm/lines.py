@@ -164,6 +164,7 @@ def later_copies(
         kept = named.groupBy(*interval).agg(
             F.min(F.struct("place", "first")).alias("kept"), F.count(F.lit(1)).alias("n")
         ).where("n > 1").drop("n")
+        kept = staged(kept, "kept")  # two plain inputs for the join: Spark can split a frequent run's
         later = named.join(kept, interval).where(F.struct("place", "first") != F.col("kept"))
         copies.append(later.select("place", "first", "length"))
         size *= 2

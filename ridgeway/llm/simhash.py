@@ -205,7 +205,8 @@ def near_links(distinct: DataFrame, radius: int) -> DataFrame:
         for t, mask in enumerate(_block_masks(radius))
     ]
     keyed = distinct.select("fp", F.explode(F.array(*tables)).alias("k")).select("fp", "k.t", "k.key")
-    shared = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that the join has two plain inputs and Spark can split a large bucket's
+    shared = staged(keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     members = keyed.join(shared, ["t", "key"]).select(
         "t", "key", "fp", F.pmod(F.hash("fp"), chunks).alias("own"), chunks.alias("chunks")
@@ -244,7 +245,7 @@ def simhash_groups(
     linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = staged(linked.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     named = linked.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"

@@ -116,6 +116,9 @@ def url_scores(urls: DataFrame) -> tuple[DataFrame, float] | None:
     ``urls`` has distinct urls and the verdict of their rule or null. None if there are not
     urls of both verdicts to learn from.
     """
+    # few bytes, much work: more tasks than the size of the table asks for
+    tasks = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    urls = staged(urls.repartition(tasks), "urls")
     part = F.pmod(F.xxhash64("url"), F.lit(CALIBRATE))
     known = urls.select("url", "verdict", (F.col("verdict").isNotNull() & (part > 0)).alias("learnt"))
     places = known.select("url", "verdict", "learnt", F.explode(_runs(F.col("url"))).alias("run"))
