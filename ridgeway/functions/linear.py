@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def linear_column(intercept: float, terms: Sequence[tuple[Column, float]]) -> Column:
-    """``intercept + Σ weight·column``; zero weights are left out."""
-    products = [c * F.lit(float(w)) for c, w in terms if w != 0.0]
-    return reduce(add, products, F.lit(float(intercept)))
+    """``intercept + Σ weight·column``; zero weights are left out.
+
+    Sums are paired, so the expression is as deep as the logarithm of its length:
+    a chain of some hundred terms overflows the planner's stack.
+    """
+    parts = [F.lit(float(intercept)), *(c * F.lit(float(w)) for c, w in terms if w != 0.0)]
+    while len(parts) > 1:
+        pairs = [a + b for a, b in zip(parts[::2], parts[1::2])]
+        parts = pairs + parts[len(parts) // 2 * 2 :]
+    return parts[0]
 
 
 def dot(values: Column, weights: Sequence[float]) -> Column:

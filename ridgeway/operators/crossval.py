@@ -46,14 +46,14 @@ def mean_scores(scores: Sequence[tuple[float, int, float | None]]) -> dict[float
     grouped: dict[float, list[float]] = {}
     for alpha, _, score in scores:
         grouped.setdefault(alpha, [])
-        if score is not None:
+        if score is not None and not np.isnan(score):
             grouped[alpha].append(score)
     return {a: float(np.mean(s)) if s else float("-inf") for a, s in grouped.items()}
 
 
 def best_alpha(means: Mapping[float, float]) -> float:
     """The penalty of the best mean score; a tie goes to the smallest penalty."""
-    return min(means, key=lambda a: (-means[a], a))
+    return min(means, key=lambda a: (float("inf") if np.isnan(means[a]) else -means[a], a))
 
 
 def cross_validate(
@@ -74,7 +74,8 @@ def scores_frame(spark: SparkSession, scores) -> DataFrame:
 
 
 def mean_by_alpha(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("alpha").agg(F.avg("r2").alias("mean_r2"))
+    known = F.when(~F.isnan("r2"), F.col("r2"))
+    return scores.groupBy("alpha").agg(F.avg(known).alias("mean_r2"))
 
 
 def select_alpha(scores: DataFrame) -> DataFrame:

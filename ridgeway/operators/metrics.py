@@ -1,4 +1,7 @@
-"""Regression metrics as aggregates: one job, whatever the number of metrics."""
+"""Regression metrics as aggregates: one job, whatever the number of metrics.
+
+A row counts if it has both a label and a prediction, for every metric alike.
+"""
 
 from __future__ import annotations
 
@@ -27,7 +30,8 @@ def mae(label: str | Column, prediction: str | Column) -> Column:
 
 def abs_mean_error(label: str | Column, prediction: str | Column) -> Column:
     """Absolute mean error (bias): positive and negative errors cancel."""
-    return F.abs(F.sum(_col(prediction) - _col(label))) / F.count(F.lit(1))
+    error = _col(prediction) - _col(label)
+    return F.abs(F.sum(error)) / F.nullif(F.count(error), F.lit(0))
 
 
 def r2(label: str | Column, prediction: str | Column) -> Column:
@@ -36,7 +40,8 @@ def r2(label: str | Column, prediction: str | Column) -> Column:
     The total sum of squares is n·var_pop, which Spark updates around a running
     mean, so no second pass over the rows is needed to centre the label.
     """
-    total = F.count(F.lit(1)) * F.var_pop(_col(label))
+    scored = F.when(_col(prediction).isNotNull(), _col(label))
+    total = F.count(scored) * F.var_pop(scored)
     return F.lit(1.0) - F.sum(squared_error(label, prediction)) / F.nullif(total, F.lit(0.0))
 
 
@@ -45,7 +50,7 @@ def regression_metrics(
 ) -> DataFrame:
     """All metrics for each group (or for the whole table)."""
     return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(_col(prediction) - _col(label)).alias("n"),
         mse(label, prediction).alias("mse"),
         rmse(label, prediction).alias("rmse"),
         mae(label, prediction).alias("mae"),
@@ -55,8 +60,9 @@ def regression_metrics(
 
 
 def best_by_score(scores: DataFrame, candidate: str, score: str) -> DataFrame:
-    """Top-1 row by score; a tie goes to the smallest candidate."""
-    return scores.orderBy(F.desc(score), F.asc(candidate)).limit(1)
+    """Top-1 row by score; a tie goes to the smallest candidate, and NaN is no score."""
+    known = F.when(~F.isnan(score), F.col(score))
+    return scores.orderBy(F.desc_nulls_last(known), F.asc(candidate)).limit(1)
 
 
 def _col(c: str | Column) -> Column:

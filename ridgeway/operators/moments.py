@@ -11,12 +11,17 @@ Two plans compute the same sums:
 
 In both, each task reduces its rows to fixed-size partials before the shuffle,
 so a group that holds most of the rows costs no task more than another.
+
+Both skip a row with a null among the numbers, vectors or the label (a null
+ordinal or categorical is a value of its own), as a fit on the complete rows
+does. Sums are taken about a pivot near the data, so columns that lie far from
+zero lose no digits; the pivot is shifted back in algebra.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property, reduce
 from operator import and_
 
@@ -57,8 +62,11 @@ TASKS_PER_CORE = 4
 PARTIAL_BYTES = 256 << 30
 # more tasks than any scan has: no bound is needed
 MANY_TASKS = 1_000_000
-# packed sums that one collect may bring to the driver
+# packed sums that one collect may bring to the driver, and matrices it may hold
 COLLECT_BYTES = 256 << 20
+HELD_BYTES = 16 << 30
+# rows whose mean is the pivot
+PIVOT_ROWS = 64
 
 
 @dataclass(frozen=True)
@@ -92,17 +100,29 @@ class Design:
 
 @dataclass(frozen=True)
 class Moments:
-    """Σzzᵀ over [1, features…] or [1, features…, label]."""
+    """Σzzᵀ over [1, features…] or [1, features…, label], kept about a pivot."""
 
     terms: tuple[str, ...]
-    matrix: np.ndarray
+    about: np.ndarray
     has_label: bool = True
+    # 0 for the leading 1
+    pivot: np.ndarray | None = None
 
     def __add__(self, other: Moments) -> Moments:
-        return Moments(self.terms, self.matrix + other.matrix, self.has_label)
+        return Moments(self.terms, self.about + self._same(other).about, self.has_label, self.pivot)
 
     def __sub__(self, other: Moments) -> Moments:
-        return Moments(self.terms, self.matrix - other.matrix, self.has_label)
+        return Moments(self.terms, self.about - self._same(other).about, self.has_label, self.pivot)
+
+    def _same(self, other: Moments) -> Moments:
+        mine, its = self._offsets, other._offsets
+        if not np.array_equal(mine, its):
+            raise ValueError("only moments about the same pivot can be added")
+        return other
+
+    @property
+    def _offsets(self) -> np.ndarray:
+        return np.zeros(len(self.about)) if self.pivot is None else self.pivot
 
     @property
     def p(self) -> int:
@@ -110,7 +130,15 @@ class Moments:
 
     @property
     def n(self) -> float:
-        return float(self.matrix[0, 0])
+        return float(self.about[0, 0])
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        """The sums about zero."""
+        if self.pivot is None:
+            return self.about
+        shift = np.outer(self.pivot, self.about[0])
+        return self.about + shift + shift.T + np.outer(self.pivot, self.pivot) * self.about[0, 0]
 
     @property
     def gram(self) -> np.ndarray:
@@ -123,7 +151,8 @@ class Moments:
 
     @cached_property
     def _centring(self) -> tuple[np.ndarray, np.ndarray]:
-        return solvers.centre(self.matrix)
+        means, centred = solvers.centre(self.about)
+        return means + self._offsets[1:], centred
 
     @property
     def means(self) -> np.ndarray:
@@ -157,6 +186,7 @@ class MomentTable:
         has_label: bool,
         size: int | None = None,
         keep: np.ndarray | None = None,
+        pivot: np.ndarray | None = None,
     ):
         self.packed = packed
         self.by = list(by)
@@ -165,25 +195,35 @@ class MomentTable:
         # side of the packed matrix, and which of its rows make the model's matrix
         self._size = size or len(terms) + 1 + has_label
         self._keep = keep
+        self.pivot = pivot
 
     def collect(self) -> dict[tuple, Moments]:
         """Moments per group value. A group is one matrix, whatever its rows.
 
-        Only for groupings of known, small size (folds); for many groups use
-        :meth:`entries` or the grouped solver. Wide matrices come one by one.
+        Only for groupings of known, small size (folds): more than the driver may
+        hold is an error. For many groups use :meth:`entries` or the grouped
+        solver. Wide matrices come one by one.
         """
-        if 4 * self._size**2 * 8 <= COLLECT_BYTES or not self.by:
+        if not self.by:
             return self._fetch(self.packed)
+        if 4 * self._size**2 * 8 <= COLLECT_BYTES:
+            most = max(1, COLLECT_BYTES // (8 * partials.CHUNK))
+            return self._fetch(self.packed.limit(most + 1), most)
+        most = max(8, HELD_BYTES // (8 * self._size**2))
         with reused(self.packed) as packed:
-            groups = packed.select(*self.by).distinct().collect()
+            groups = packed.select(*self.by).distinct().limit(most + 1).collect()
+            if len(groups) > most:
+                raise ValueError(f"more than {most} matrices of side {self._size}")
             found: dict[tuple, Moments] = {}
             for group in groups:
                 same = [F.col(c).eqNullSafe(F.lit(group[c])) for c in self.by]
                 found |= self._fetch(packed.filter(reduce(and_, same)))
             return found
 
-    def _fetch(self, packed: DataFrame) -> dict[tuple, Moments]:
+    def _fetch(self, packed: DataFrame, most: int | None = None) -> dict[tuple, Moments]:
         fetched = packed.select(*self.by, "chunk", "v").toArrow().combine_chunks()
+        if most is not None and fetched.num_rows > most:
+            raise ValueError(f"the groups hold more than {COLLECT_BYTES} bytes of sums")
         groups = list(zip(*(fetched.column(c).to_pylist() for c in self.by)))
         groups = groups or [()] * fetched.num_rows
         chunks = fetched.column("chunk").to_numpy()
@@ -205,7 +245,7 @@ class MomentTable:
         total = np.tril(total) + np.tril(total, -1).T
         if self._keep is not None:
             total = total[np.ix_(self._keep, self._keep)]
-        return Moments(self.terms, total, self.has_label)
+        return Moments(self.terms, total, self.has_label, self.pivot)
 
     def entries(self) -> DataFrame:
         """(group…, i, j, value) of the upper triangle, i ≤ j, 0 the intercept.
@@ -215,6 +255,8 @@ class MomentTable:
         """
         if self._keep is not None:
             raise ValueError("one-hot sums are stored in another order; use collect()")
+        if self.pivot is not None:
+            raise ValueError("entries are sums about zero: take the moments with pivot=False")
         size = self._size
         flat = self.packed.select(
             *self.by, "chunk", F.posexplode("v").alias("pos", "value")
@@ -239,10 +281,12 @@ def moments(
     label: str | None = None,
     by: Sequence[str] = (),
     plan: str = "auto",
+    pivot: bool = True,
 ) -> MomentTable:
-    """Sum zzᵀ over the rows of each group.
+    """Sum zzᵀ over the complete rows of each group.
 
-    ``plan`` is 'native', 'arrow' or 'auto'.
+    ``plan`` is 'native', 'arrow' or 'auto'. ``pivot``: take the sums about the
+    mean of a few rows (one small job), which keeps all digits of fits.
     """
     plain = not design.arrays and not design.ordinals and not design.categoricals
     width = len(design.terms)
@@ -251,36 +295,72 @@ def moments(
     if plan == "auto":
         small = len(design.numericals) + (label is not None) <= NATIVE_MAX_COLUMNS
         plan = "native" if plain and small else "arrow"
+    if plan == "native" and not plain:
+        raise ValueError("the native plan takes plain numeric columns only")
+    whole = [c for c, _ in design.arrays] + [*design.numericals, *([label] if label else [])]
+    if whole:
+        df = df.filter(reduce(and_, (F.col(c).isNotNull() for c in whole)))
+    offsets = _pivot(df, design, label) if pivot else None
     if plan == "native":
-        if not plain:
-            raise ValueError("the native plan takes plain numeric columns only")
-        return _native(df, design, label, by)
-    return _arrow(df, design, label, by)
+        return _native(df, design, label, by, offsets)
+    return _arrow(df, design, label, by, offsets)
 
 
-def native_sums(columns: Sequence[str]) -> list[F.Column]:
-    """``sum(a*b)`` for the lower triangle over [1, columns…], row by row."""
-    z = [F.lit(1.0), *(F.col(c).cast("double") for c in columns)]
+def _pivot(df: DataFrame, design: Design, label: str | None) -> np.ndarray:
+    """Means of some rows over [1, features…, label], 0 for the 1 and for coded columns.
+
+    Any number near the data serves: it changes rounding, never the result.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    named = [*design.numericals, *([label] if label else [])]
+    arrays = [_task_column(c, types[c], False).alias(f"a{i}") for i, (c, _) in enumerate(design.arrays)]
+    plain = F.array(*(F.col(c).cast("double") for c in named)).alias("plain")
+    rows = df.select(*arrays, plain).limit(PIVOT_ROWS).collect()
+
+    def mean(name: str, width: int) -> list[float]:
+        values = [r[name] for r in rows if len(r[name]) == width]
+        values = np.array(values, float).reshape(len(values), width)
+        values = np.where(np.isfinite(values), values, np.nan)
+        counts = np.maximum(1, np.isfinite(values).sum(axis=0))
+        return (np.nansum(values, axis=0) / counts).tolist()
+
+    wide = [x for i, (_, width) in enumerate(design.arrays) for x in mean(f"a{i}", width)]
+    numbers = mean("plain", len(named))
+    coded = [0.0] * (len(design.terms) - len(wide) - len(design.numericals))
+    last = numbers[len(design.numericals) :]
+    return np.array([0.0, *wide, *numbers[: len(design.numericals)], *coded, *last])
+
+
+def native_sums(columns: Sequence[str], offsets: Sequence[float]) -> list[F.Column]:
+    """``sum(a*b)`` for the lower triangle over [1, columns…] less the offsets, row by row."""
+    shifted = [F.col(c).cast("double") - float(o) if o else F.col(c).cast("double") for c, o in zip(columns, offsets)]
+    z = [F.lit(1.0), *shifted]
     return [F.sum(z[r] * z[c]) for r in range(len(z)) for c in range(r + 1)]
 
 
-def _native(df: DataFrame, design: Design, label: str | None, by: Sequence[str]) -> MomentTable:
+def _native(
+    df: DataFrame, design: Design, label: str | None, by: Sequence[str], pivot: np.ndarray | None
+) -> MomentTable:
     columns = [*design.numericals, *([label] if label else [])]
-    sums = native_sums(columns)
+    sums = native_sums(columns, [0.0] * len(columns) if pivot is None else pivot[1:])
     wide = df.groupBy(*by).agg(*(s.alias(f"s{k}") for k, s in enumerate(sums)))
     # the sums of an empty table are null; as a matrix they are zero
     numbers = [F.coalesce(F.col(f"s{k}"), F.lit(0.0)) for k in range(len(sums))]
     step = partials.CHUNK
+    numbers += [F.lit(0.0)] * (-len(numbers) % step)
     rows = F.array(*(F.array(*numbers[at : at + step]) for at in range(0, len(numbers), step)))
     packed = wide.select(*by, F.posexplode(rows).alias("chunk", "v"))
-    return MomentTable(packed, by, design.terms, label is not None)
+    return MomentTable(packed, by, design.terms, label is not None, pivot=pivot)
 
 
-def _arrow(df: DataFrame, design: Design, label: str | None, by: Sequence[str]) -> MomentTable:
+def _arrow(
+    df: DataFrame, design: Design, label: str | None, by: Sequence[str], pivot: np.ndarray | None
+) -> MomentTable:
     fields = {f.name: f for f in df.schema.fields}
     matrix_bytes = 8 * (len(design.terms) + len(design.categoricals) + 2) ** 2
+    groups = tuple(f"_group{i}" for i in range(len(by)))
     layout = partials.BlockLayout(
-        group="_group",
+        groups=groups,
         arrays=design.arrays,
         scalars=design.numericals,
         ordinals=design.ordinals,
@@ -288,14 +368,15 @@ def _arrow(df: DataFrame, design: Design, label: str | None, by: Sequence[str])
         label="_label" if label else None,
         labels={c: tuple(design.labels[c]) for c in (*design.ordinals, *design.categoricals)},
         max_live=max(1, LIVE_BYTES // matrix_bytes),
+        pivot=np.zeros(1),
     )
-    if not by:
-        group, group_type = F.lit(0), IntegerType()
-    elif len(by) == 1:
-        group, group_type = F.col(by[0]), fields[by[0]].dataType
-    else:
-        group, group_type = F.to_json(F.struct(*by)), StringType()
-    wanted = [group.alias("_group")]
+    keep = _model_order(layout)
+    if pivot is not None:
+        dense = np.arange(layout.dense_width)
+        if layout.label is not None:
+            dense[-1] = len(pivot) - 1
+        layout = replace(layout, pivot=pivot[dense])
+    wanted = [F.col(b).alias(g) for b, g in zip(by, groups)]
     if label:
         wanted.append(F.col(label).cast("double").alias("_label"))
     for c in design.columns:
@@ -310,29 +391,22 @@ def _arrow(df: DataFrame, design: Design, label: str | None, by: Sequence[str])
         rows = rows.coalesce(tasks)
     if by and layout.max_live < 8:
         # wide matrices: meet one group after the other, so that few are live
-        rows = rows.sortWithinPartitions("_group")
+        rows = rows.sortWithinPartitions(*groups)
 
     value_names = [f"v{i}" for i in range(partials.CHUNK)]
     schema = StructType(
-        [StructField("_group", group_type), StructField("chunk", IntegerType())]
+        [StructField(g, fields[b].dataType) for g, b in zip(groups, by)]
+        + [StructField("chunk", IntegerType())]
         + [StructField(v, DoubleType()) for v in value_names]
     )
     summed = (
         rows.mapInArrow(partials.partial_sums(layout, to_arrow_schema(schema)), schema)
-        .groupBy("_group", "chunk")
+        .groupBy(*groups, "chunk")
         .agg(*(F.sum(v).alias(v) for v in value_names))
     )
-    numbers = F.array(*value_names).alias("v")
-    if len(by) == 1:
-        packed = summed.select(F.col("_group").alias(by[0]), "chunk", numbers)
-    elif by:
-        group_schema = StructType([fields[b] for b in by])
-        back = F.from_json("_group", group_schema)
-        packed = summed.select(*(back[b].alias(b) for b in by), "chunk", numbers)
-    else:
-        packed = summed.select("chunk", numbers)
-    keep = _model_order(layout)
-    return MomentTable(packed, by, design.terms, label is not None, layout.size, keep)
+    named = [F.col(g).alias(b) for g, b in zip(groups, by)]
+    packed = summed.select(*named, "chunk", F.array(*value_names).alias("v"))
+    return MomentTable(packed, by, design.terms, label is not None, layout.size, keep, pivot)
 
 
 def _task_column(name: str, dtype, coded: bool) -> F.Column:
@@ -361,11 +435,19 @@ def _model_order(layout: partials.BlockLayout) -> np.ndarray | None:
     return np.array([0, *features, *([d - 1] if layout.label else [])])
 
 
-def vector_sum(df: DataFrame, column: str, width: int) -> DataFrame:
-    """(position, total): the elementwise sum of a fixed-width array column.
+def vector_sum(df: DataFrame, column: str) -> DataFrame:
+    """(position, total): the elementwise sum of an array column of any widths.
 
-    One sum per position instead of one row per element; null where no row has
-    the position.
+    Tasks add up per position before the shuffle. A position that some rows do
+    not have sums over those that do.
     """
-    sums = [F.sum(F.get(column, F.lit(i)).cast("double")) for i in range(width)]
-    return df.agg(F.array(*sums).alias("v")).select(F.posexplode("v").alias("position", "total"))
+    cells = df.select(F.posexplode(F.col(column).cast("array<double>")).alias("position", "x"))
+    return cells.groupBy("position").agg(F.sum("x").alias("total"))
+
+
+def row_widths(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """(group…, n, width, least_width): rows, and the widest and narrowest vector of each group."""
+    size = F.when(F.col(column).isNotNull(), F.size(column)).cast("long")
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.max(size).alias("width"), F.min(size).alias("least_width")
+    )

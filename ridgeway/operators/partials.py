@@ -30,7 +30,7 @@ class BlockLayout:
     and one last slot for null or unseen values. Both use ``labels``.
     """
 
-    group: str
+    groups: tuple[str, ...]
     arrays: tuple[tuple[str, int], ...]
     scalars: tuple[str, ...]
     ordinals: tuple[str, ...]
@@ -38,6 +38,8 @@ class BlockLayout:
     label: str | None
     labels: dict[str, tuple[str, ...]]
     max_live: int
+    # what is taken off the dense columns before they are multiplied, 0 for the first
+    pivot: np.ndarray
 
     @property
     def dense_width(self) -> int:
@@ -75,8 +77,21 @@ def matrix_of(column: pa.ListArray, name: str, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
+def complete(batch: pa.RecordBatch, layout: BlockLayout) -> pa.RecordBatch:
+    """The rows whose vectors have no null inside; other nulls were filtered before."""
+    for name, width in layout.arrays:
+        column = batch.column(name)
+        numbers = column.flatten()
+        if numbers.null_count:
+            missing = numbers.is_null().to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy())
+            keep = np.ones(len(column), bool)
+            keep[rows[missing]] = False
+            batch = batch.filter(pa.array(keep))
+    return batch
+
+
 def numbers_of(column: pa.Array) -> np.ndarray:
-    """Doubles; a null becomes NaN, which marks every sum it takes part in."""
     return column.cast(pa.float64()).to_numpy(zero_copy_only=False)
 
 
@@ -95,6 +110,7 @@ def dense_block(batch: pa.RecordBatch, layout: BlockLayout) -> np.ndarray:
         at += 1
     if layout.label is not None:
         block[:, at] = numbers_of(batch.column(layout.label))
+    block -= layout.pivot
     return block
 
 
@@ -123,29 +139,34 @@ def add_rows(total: np.ndarray, dense: np.ndarray, codes: np.ndarray, widths: li
         total[here, d : d + reach] += counts.reshape(width, reach)
 
 
-def group_spans(column: pa.Array) -> list[tuple[object, np.ndarray | slice]]:
-    """(group value, row positions) for the groups that occur in a batch."""
-    coded = column.dictionary_encode(null_encoding="encode")
-    values = coded.dictionary.to_pylist()
-    if len(values) == 1:
-        return [(values[0], slice(None))]
-    codes = coded.indices.to_numpy(zero_copy_only=False)
+def group_spans(batch: pa.RecordBatch, names: tuple[str, ...]) -> list[tuple[tuple, np.ndarray | slice]]:
+    """(group values, row positions) for the groups that occur in a batch."""
+    codes, columns = np.zeros(batch.num_rows, np.int64), []
+    for name in names:
+        coded = batch.column(name).dictionary_encode(null_encoding="encode")
+        columns.append(coded.dictionary.to_pylist())
+        own = coded.indices.to_numpy(zero_copy_only=False)
+        codes = np.unique(codes * max(1, len(columns[-1])) + own, return_inverse=True)[1].ravel()
+        columns = [*columns[:-1], (columns[-1], own)]
+    if not batch.num_rows or not codes.any():
+        return [(tuple(v[own[0]] for v, own in columns), slice(None))] if batch.num_rows else []
     order = np.argsort(codes, kind="stable")
-    bounds = np.searchsorted(codes[order], np.arange(len(values) + 1))
-    return [(v, order[bounds[i] : bounds[i + 1]]) for i, v in enumerate(values)]
+    bounds = np.searchsorted(codes[order], np.arange(codes.max() + 2))
+    spans = [order[a:b] for a, b in zip(bounds, bounds[1:])]
+    return [(tuple(v[own[rows[0]]] for v, own in columns), rows) for rows in spans]
 
 
-def packed_batches(group: object, total: np.ndarray, schema: pa.Schema):
+def packed_batches(group: tuple, total: np.ndarray, schema: pa.Schema):
     """The lower triangle, row by row, in rows of ``CHUNK`` numbers."""
     packed = total[np.tril_indices(len(total))]
     rows = np.zeros((-(-len(packed) // CHUNK), CHUNK))
     rows.ravel()[: len(packed)] = packed
     for at in range(0, len(rows), CHUNKS_PER_BATCH):
         part = rows[at : at + CHUNKS_PER_BATCH]
-        groups = pa.array([group] * len(part), schema.field(0).type)
+        groups = [pa.array([g] * len(part), schema.field(i).type) for i, g in enumerate(group)]
         chunks = pa.array(np.arange(at, at + len(part), dtype=np.int32))
         numbers = [pa.array(np.ascontiguousarray(part[:, j])) for j in range(CHUNK)]
-        yield pa.RecordBatch.from_arrays([groups, chunks, *numbers], schema=schema)
+        yield pa.RecordBatch.from_arrays([*groups, chunks, *numbers], schema=schema)
 
 
 def blocks(batches, rows: int):
@@ -171,11 +192,14 @@ def partial_sums(layout: BlockLayout, schema: pa.Schema):
     """The function for ``mapInArrow``: batches in, packed partial sums out."""
 
     def run(batches):
-        live: dict[object, np.ndarray] = {}
+        live: dict[tuple, np.ndarray] = {}
         widths = layout.slot_widths
         for batch in blocks(batches, layout.rows_per_block):
+            batch = complete(batch, layout)
+            if not batch.num_rows:
+                continue
             dense, codes = dense_block(batch, layout), code_block(batch, layout)
-            for group, rows in group_spans(batch.column(layout.group)):
+            for group, rows in group_spans(batch, layout.groups):
                 if group not in live and len(live) >= layout.max_live:
                     # sums are additive: what was emitted early is added later
                     for done, total in live.items():

@@ -37,7 +37,6 @@ from ridgeway.operators.moments import (
     Moments,
     MomentTable,
     moments,
-    native_sums,
 )
 
 
@@ -86,12 +85,13 @@ def fit_moments(m: Moments, alpha: float, basis: np.ndarray | None = None) -> Li
 def r2_from_moments(m: Moments, fit: LinearFit) -> float | None:
     """R² of a model on the rows behind ``m``; None where the label does not vary."""
     total = m.centred[-1, -1]
-    if total <= 0.0:
+    if not total > 0.0:  # also where it is not a number
         return None
     weights = np.append(-fit.slopes, 1.0)
     bias = m.means[-1] - fit.intercept - m.means[: m.p] @ fit.slopes
     residual = weights @ m.centred @ weights + m.n * bias**2
-    return float(1.0 - residual / total)
+    score = float(1.0 - residual / total)
+    return None if np.isnan(score) else score
 
 
 def fit_ridge(
@@ -114,24 +114,27 @@ def fit_ridge_grouped(
 ) -> DataFrame:
     """One ridge model per group: (group…, term, coefficient).
 
-    For any number of groups: sums are aggregated natively and the solves run
-    where the aggregated rows are, a batch of groups at a time.
+    For any number of groups: the moments are summed per group, and the solves
+    run where the sums are, a batch of groups at a time.
     """
     solvers.check_alpha(alpha)
-    sums = native_sums([*features, label])
-    names = [f"s{k}" for k in range(len(sums))]
-    stats = df.groupBy(*by).agg(*(s.alias(n) for s, n in zip(sums, names)))
+    table = moments(df, Design(numericals=tuple(features)), label, by=by)
+    chunks = F.transform(F.array_sort(F.collect_list(F.struct("chunk", "v"))), lambda c: c["v"])
+    stats = table.packed.groupBy(*by).agg(F.flatten(chunks).alias("_packed"))
     terms = ["(intercept)", *features]
     types = {f.name: f for f in df.schema.fields}
     schema = StructType(
         [types[b] for b in by]
         + [StructField("term", StringType()), StructField("coefficient", DoubleType())]
     )
-    keys, size = list(by), len(features) + 2
+    keys, size, pivot = list(by), len(features) + 2, table.pivot
 
     def solve(frames):
         for frame in frames:
-            theta = solvers.grouped_ridge(frame[names].to_numpy(float), size, alpha)
+            if not len(frame):
+                continue
+            packed = np.stack(frame["_packed"].to_numpy())[:, : size * (size + 1) // 2]
+            theta = solvers.grouped_ridge(packed, size, alpha, pivot)
             repeated = frame[keys].loc[frame.index.repeat(len(terms))].reset_index(drop=True)
             yield repeated.assign(
                 term=pd.Series(terms * len(frame), dtype=object), coefficient=theta.ravel()

@@ -14,13 +14,11 @@ def ridge_slopes(spread: np.ndarray, cross: np.ndarray, alpha: float) -> np.ndar
     """Solve (spread + αI)·β = cross; of many solutions (α = 0), the shortest."""
     check_alpha(alpha)
     system = spread + alpha * np.eye(len(spread))
-    try:
-        lower = np.linalg.cholesky(system)
-    except np.linalg.LinAlgError:
-        return np.linalg.lstsq(system, cross, rcond=None)[0]
-    if alpha == 0 and np.diag(lower).min() ** 2 <= 1e-12 * np.diag(system).max():
-        return np.linalg.lstsq(system, cross, rcond=None)[0]
-    return np.linalg.solve(system, cross)
+    if alpha > 0:
+        return np.linalg.solve(system, cross)
+    variances, axes = np.linalg.eigh(system)
+    seen = variances > 1e-12 * max(variances.max(initial=0.0), 0.0)
+    return axes[:, seen] @ ((axes[:, seen].T @ cross) / variances[seen])
 
 
 def centre(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -34,8 +32,10 @@ def centre(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return means, np.where(varies[..., :, None] & varies[..., None, :], centred, 0.0)
 
 
-def grouped_ridge(packed: np.ndarray, size: int, alpha: float) -> np.ndarray:
-    """θ (intercept first) of each row of packed lower triangles over [1, x, y].
+def grouped_ridge(
+    packed: np.ndarray, size: int, alpha: float, pivot: np.ndarray | None = None
+) -> np.ndarray:
+    """θ (intercept first) of each row of packed lower triangles over [1, x, y] about a pivot.
 
     A single-row group has no spread: its slopes are 0 and its intercept y.
     """
@@ -44,6 +44,8 @@ def grouped_ridge(packed: np.ndarray, size: int, alpha: float) -> np.ndarray:
     full[:, rows, columns] = packed
     full[:, columns, rows] = packed
     means, centred = centre(full)
+    if pivot is not None:
+        means = means + pivot[1:]
     p = size - 2
     spread, cross = centred[:, :p, :p], centred[:, :p, p]
     if alpha > 0:

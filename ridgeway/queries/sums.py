@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ridgeway.operators import moments as ops
 from ridgeway.operators.encode import assemble, fit_labels
 from ridgeway.operators.pca import fit_pca
-from ridgeway.operators.ridge import only_moments, vector_width, with_intercept
+from ridgeway.operators.ridge import only_moments, with_intercept
 from ridgeway.operators.split import with_fold
 from ridgeway.queries import sql
 from ridgeway.queries.registry import query
@@ -38,7 +38,7 @@ def _gram_sql(names: list[str], source: str, group: str | None = None) -> str:
 def gram_matrix(spark, sf_dir):
     """XᵀX of the numeric columns, intercept in row 0, in index order."""
     design = ops.Design(numericals=SPEC.numericals)
-    entries = ops.moments(model_rows(spark, sf_dir), design).entries()
+    entries = ops.moments(model_rows(spark, sf_dir), design, pivot=False).entries()
     return entries.select("i", "j", significant("value").alias("value")).orderBy("i", "j")
 
 
@@ -47,7 +47,7 @@ def gram_by_fold(spark, sf_dir):
     """All sums that ridge needs, per fold, in one aggregation."""
     rows = with_fold(lines(spark, sf_dir), LINE_KEYS, 5)
     design = ops.Design(numericals=("l_extendedprice", "l_discount"))
-    entries = ops.moments(rows, design, "y", by=["fold"]).entries()
+    entries = ops.moments(rows, design, "y", by=["fold"], pivot=False).entries()
     return entries.select("fold", "i", "j", significant("value").alias("value"))
 
 
@@ -64,7 +64,7 @@ def gram_embeddings(spark, sf_dir):
     """XᵀX of a 64-wide vector column per label, by numpy partial sums."""
     design = ops.Design(arrays=(("embedding", EMBEDDING_WIDTH),))
     rows = table(spark, sf_dir, "embeddings").filter("embedding IS NOT NULL")
-    entries = ops.moments(rows, design, by=["label"]).entries()
+    entries = ops.moments(rows, design, by=["label"], pivot=False).entries()
     return entries.select("label", "i", "j", F.round("value", 9).alias("value"))
 
 
@@ -89,7 +89,7 @@ def gram_one_hot(spark, sf_dir):
     design = ops.Design(
         numericals=("l_quantity",), categoricals=columns, labels=fit_labels(rows, columns)
     )
-    found = only_moments(ops.moments(rows, design, "y"))
+    found = only_moments(ops.moments(rows, design, "y", pivot=False))
     names = ["(intercept)", *found.terms, "y"]
     entries = [
         (min(a, b), max(a, b), float(found.matrix[i, j]))
@@ -110,7 +110,7 @@ _XTY_TERMS = ["1.0", *sql.NUMERICALS, "y"]
 def xty_vector(spark, sf_dir):
     """Σy, Xᵀy and yᵀy: the last column of the moments."""
     design = ops.Design(numericals=SPEC.numericals)
-    entries = ops.moments(model_rows(spark, sf_dir), design, "y").entries()
+    entries = ops.moments(model_rows(spark, sf_dir), design, "y", pivot=False).entries()
     last = entries.filter(F.col("j") == len(SPEC.numericals) + 1)
     return last.select(F.col("i").alias("position"), significant("value").alias("value"))
 
@@ -120,7 +120,7 @@ SELECT CAST(pos - 1 AS INTEGER) AS position, round(sum(x), 9) AS total FROM (
   SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)
 GROUP BY pos""")
 def vector_sum(spark, sf_dir):
-    totals = ops.vector_sum(table(spark, sf_dir, "embeddings"), "embedding", EMBEDDING_WIDTH)
+    totals = ops.vector_sum(table(spark, sf_dir, "embeddings"), "embedding")
     return totals.select("position", F.round("total", 9).alias("total"))
 
 
@@ -149,14 +149,8 @@ SELECT label, count(*) AS n, max(len(embedding)) AS width, max(len(embedding)) +
 FROM embeddings GROUP BY label""")
 def row_width_count(spark, sf_dir):
     """Rows per label, and the width of the vector column without and with intercept."""
-    rows = table(spark, sf_dir, "embeddings")
-    vectors = rows.select("label", array_to_vector("embedding").alias("features"))
-    width = vector_width(vectors, "features")
-    return vectors.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.lit(width).cast("long").alias("width"),
-        F.lit(width + 1).cast("long").alias("with_intercept"),
-    )
+    found = ops.row_widths(table(spark, sf_dir, "embeddings"), "embedding", ["label"])
+    return found.select("label", "n", "width", (F.col("width") + 1).alias("with_intercept"))
 
 
 @query(f"""WITH {sql.MODEL}

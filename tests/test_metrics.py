@@ -48,3 +48,15 @@ def test_constant_label_has_no_r2(spark):
 def test_best_score_prefers_the_smaller_candidate(spark):
     df = spark.createDataFrame([(1.0, 0.5), (0.1, 0.7), (0.01, 0.7)], "alpha double, s double")
     assert metrics.best_by_score(df, "alpha", "s").first().alpha == 0.01
+
+
+def test_rows_without_label_or_prediction_do_not_count(spark):
+    rows = [(1.0, 1.1), (2.0, 1.8), (4.0, 4.5)]
+    gaps = [(None, 3.0), (None, 9.0), (5.0, None), (None, None)]
+    whole, holed = (spark.createDataFrame(r, "y double, p double") for r in (rows, rows + gaps))
+    assert metrics.regression_metrics(holed, "y", "p").first() == metrics.regression_metrics(whole, "y", "p").first()
+
+
+def test_nan_is_no_score(spark):
+    df = spark.createDataFrame([(1.0, float("nan")), (0.1, 0.7), (0.01, None)], "alpha double, s double")
+    assert metrics.best_by_score(df, "alpha", "s").first().alpha == 0.1

@@ -212,3 +212,39 @@ def test_axes_match_spark(data):
     assert np.allclose(scores, other * signs, atol=1e-8)
     assert (mine.axes[np.abs(mine.axes).argmax(axis=0), [0, 1]] > 0).all()
     assert fit_pca(df, 9, numericals=COLUMNS).k == 3
+
+
+def test_nan_scores_never_win():
+    nan = float("nan")
+    means = mean_scores([(0.1, 0, 0.5), (0.1, 1, nan), (1.0, 0, nan), (2.0, 0, 0.4)])
+    assert means[0.1] == 0.5 and best_alpha(means) == 0.1
+    assert best_alpha({0.1: nan, 1.0: 0.2}) == 1.0
+    m = Moments(("a",), np.array([[2.0, nan, 1.0], [nan, nan, nan], [1.0, nan, 1.0]]))
+    assert ops.r2_from_moments(m, ops.LinearFit(("a",), 0.0, np.array([1.0]))) is None
+
+
+def test_prediction_of_thousands_of_terms(spark):
+    from ridgeway.functions.linear import linear_column
+
+    df = spark.range(3).select(F.col("id").cast("double").alias("x"))
+    score = linear_column(1.0, [(F.col("x"), float(i % 5 + 1)) for i in range(8000)])
+    assert [r[0] for r in df.select(score).collect()] == [1.0, 24001.0, 48001.0]
+
+
+def test_grouped_fits_of_many_features(spark):
+    import time
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(1e6, 3, (1000, 60))
+    y = (x - 1e6) @ np.arange(60) + rng.normal(0, 0.1, 1000)
+    names = [f"x{i}" for i in range(60)]
+    rows = [(*map(float, r), float(t), i % 5) for i, (r, t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names) + ", y double, g int").cache()
+    df.count()
+    start = time.perf_counter()
+    found = ops.fit_ridge_grouped(df, names, "y", 0.5, ["g"]).collect()
+    assert time.perf_counter() - start < 20  # seconds; alone on a machine it takes about one
+    by_group = {(r.g, r.term): r.coefficient for r in found}
+    for g in range(5):
+        want = closed_form(x[g::5] - 1e6, y[g::5], 0.5)
+        assert np.allclose([by_group[g, n] for n in names], want[1:], rtol=1e-6)
