@@ -19,14 +19,22 @@ def main() -> None:
     parser.add_argument("--person", nargs="+", default=list(PERSON_FILES))
     parser.add_argument("--housing", nargs="+", default=list(HOUSING_FILES))
     parser.add_argument("--seed", type=int, default=0, help="of split, folds and column draw")
-    parser.add_argument("--keep", default="cache", choices=["cache", "table", "nothing"])
+    parser.add_argument("--keep", default="table", choices=["table", "cache", "nothing"])
+    parser.add_argument("--person-schema", help="DDL of the person files (default: types by name)")
+    parser.add_argument("--housing-schema", help="DDL of the housing files (default: types by name)")
     parser.add_argument("--no-comparison", action="store_true", help="leave Spark's own model out")
     parser.add_argument("--metrics", help="folder of the metrics table to append to")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName(args.experiment).getOrCreate()
     table = read_census(
-        spark, args.data, person_files=args.person, housing_files=args.housing, fmt=args.format
+        spark,
+        args.data,
+        args.person_schema,
+        args.housing_schema,
+        person_files=args.person,
+        housing_files=args.housing,
+        fmt=args.format,
     )
     log = MetricsLog(spark, args.metrics) if args.metrics else None
     result = run_experiment(

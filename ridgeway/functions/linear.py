@@ -1,9 +1,11 @@
-"""Linear forms as native column expressions (no Python at scoring time)."""
+"""Linear forms as native column expressions, and matrix products per Arrow batch."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,3 +28,18 @@ def dot(values: Column, weights: Sequence[float]) -> Column:
     fixed = F.array(*(F.lit(float(w)) for w in weights))
     products = F.zip_with(values, fixed, lambda x, w: x * w)
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+
+def projection(axes: np.ndarray):
+    """A function of a vector column: its products with every axis; null stays null."""
+
+    @F.pandas_udf("array<double>")
+    def project(vectors: pd.Series) -> pd.Series:
+        known = vectors.notna().to_numpy()
+        out = np.full(len(vectors), None, object)
+        if known.any():
+            rows = np.stack(vectors[known].to_numpy()).astype(float) @ axes
+            out[np.flatnonzero(known)] = np.fromiter(iter(rows), object, len(rows))
+        return pd.Series(out)
+
+    return project

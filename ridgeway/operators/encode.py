@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+import numpy as np
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeway.functions.linear import linear_column
+from ridgeway.functions.linear import linear_column, projection
 from ridgeway.operators.joins import with_position
 from ridgeway.operators.moments import Design
 from ridgeway.operators.ridge import LinearFit
@@ -216,6 +219,31 @@ def predict_design(
     score = linear_column(fit.intercept, terms)
     for c in design.categoricals:
         weights = [float(slopes[f"{c}={v}"]) for v in design.labels[c]]
-        table = F.array(*(F.lit(w) for w in [*weights, 0.0]))
+        table = F.lit(np.array([*weights, 0.0]))  # one literal, whatever the number of labels
         score = score + F.element_at(table, F.col(f"{c}_rank").cast("int") + 1)
     return indexed.withColumn(name, score).drop(*(f"{c}_rank" for c in coded))
+
+
+def design_vectors(
+    df: DataFrame, design: Design, basis: np.ndarray, keep: Sequence[str], name: str = "features"
+) -> DataFrame:
+    """``keep`` and one vector per row: the design's features times ``basis``, nothing refitted.
+
+    ``basis`` is a factor per feature, or a matrix whose columns are the new features.
+    """
+    coded = [*design.ordinals, *design.categoricals]
+    rows = index_with(df, {c: design.labels[c] for c in coded}, "_rank")
+    parts = [*design.numericals, *(f"{c}_rank" for c in design.ordinals)]
+    if design.categoricals:
+        slots = [f"{c}_slots" for c in design.categoricals]
+        encoder = OneHotEncoder(
+            inputCols=[f"{c}_rank" for c in design.categoricals], outputCols=slots, dropLast=True
+        )
+        rows = encoder.fit(rows).transform(rows)  # widths come from the labels: no job
+        parts += slots
+    raw = assemble(rows, parts, "_raw")
+    if basis.ndim == 1:
+        scale = ElementwiseProduct(scalingVec=Vectors.dense(basis), inputCol="_raw", outputCol=name)
+        return scale.transform(raw).select(*keep, name)
+    scores = projection(basis)(vector_to_array("_raw"))
+    return raw.select(*keep, array_to_vector(scores).alias(name))

@@ -44,8 +44,17 @@ def feature_pipeline(
     return Pipeline(stages=stages)
 
 
+# Spark's normal equations take no more features
+NORMAL_WIDTH = 4096
+
+
+def solver_for(width: int) -> str:
+    """Normal equations where Spark has them, else iterations until they converge."""
+    return "normal" if width <= NORMAL_WIDTH else "l-bfgs"
+
+
 def linear_regression(
-    train: DataFrame, label: str, reg_param: float, features: str = "features", solver: str = "auto"
+    train: DataFrame, label: str, reg_param: float, features: str = "features", solver: str = "normal"
 ) -> LinearRegressionModel:
     """Spark's ridge on features that are scaled already.
 
@@ -58,7 +67,8 @@ def linear_regression(
         elasticNetParam=0.0,
         standardization=False,
         fitIntercept=True,
-        maxIter=10,
+        maxIter=300,
+        tol=1e-9,
         solver=solver,
     ).fit(train)
 

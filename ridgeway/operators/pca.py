@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeway.functions.linear import dot, linear_column
+from ridgeway.functions.linear import linear_column, projection
 from ridgeway.operators.moments import Design, moments
 from ridgeway.operators.ridge import only_moments
 from ridgeway.operators.solvers import principal_axes
@@ -29,17 +29,21 @@ class PrincipalComponents:
         return self.axes.shape[1]
 
     def transform(self, df: DataFrame, prefix: str = "pc") -> DataFrame:
-        """Add pc1…pck: projections of the rows as they are, not centred."""
-        scores = {f"{prefix}{i + 1}": self._score(self.axes[:, i]) for i in range(self.k)}
-        return df.withColumns(scores)
-
-    def _score(self, axis: np.ndarray):
-        total, at = F.lit(0.0), 0
-        for column, width in self.design.arrays:
-            total = total + dot(F.col(column).cast("array<double>"), axis[at : at + width])
-            at += width
-        plain = zip(self.design.numericals, axis[at:])
-        return total + linear_column(0.0, [(F.col(c).cast("double"), w) for c, w in plain])
+        """Add pc1…pck: projections of the rows as they are, not centred.
+
+        Plain columns are projected by native expressions; vectors by one matrix
+        product per Arrow batch, which reads each vector once for all axes.
+        """
+        names = [f"{prefix}{i + 1}" for i in range(self.k)]
+        if not self.design.arrays:
+            plain = [F.col(c).cast("double") for c in self.design.numericals]
+            return df.withColumns({n: linear_column(0.0, list(zip(plain, self.axes[:, i]))) for i, n in enumerate(names)})
+        parts = [F.col(c).cast("array<double>") for c, _ in self.design.arrays]
+        if self.design.numericals:
+            parts.append(F.array(*(F.col(c).cast("double") for c in self.design.numericals)))
+        scores = "_".join(["_scores", *names])
+        found = df.withColumn(scores, projection(self.axes)(F.concat(*parts)))
+        return found.withColumns({n: F.col(scores)[i] for i, n in enumerate(names)}).drop(scores)
 
     def explained_variance(self, spark: SparkSession) -> DataFrame:
         rows = [
@@ -55,7 +59,7 @@ def fit_pca(
     numericals: Sequence[str] = (),
     arrays: Sequence[tuple[str, int]] = (),
 ) -> PrincipalComponents:
-    """The k axes of largest variance (all of them if there are fewer than k)."""
+    """The k axes of largest variance; ``PrincipalComponents.k`` says how many there are."""
     design = Design(numericals=tuple(numericals), arrays=tuple(arrays))
     covariance = only_moments(moments(df, design)).covariance
     axes, variances = principal_axes(covariance, min(k, len(covariance)))

@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 
 from ridgeway.operators.columns import FeatureSpec, random_subset
 from ridgeway.operators.crossval import ALPHAS, best_alpha, mean_scores, score_folds
-from ridgeway.operators.encode import fit_labels, predict_design
-from ridgeway.operators.mllib import feature_pipeline, linear_regression, r2_on
+from ridgeway.operators.encode import design_vectors, fit_labels, predict_design
+from ridgeway.operators.mllib import feature_pipeline, linear_regression, r2_on, solver_for
 from ridgeway.operators.moments import MAX_WIDTH, Design, Moments, moments
 from ridgeway.operators.ridge import LinearFit, fit_moments, fit_ridge_iterative, r2_from_moments
 from ridgeway.operators.rows import drop_null_label, fill_nulls
 from ridgeway.operators.solvers import principal_axes
 from ridgeway.operators.split import fold_index, split_index
-from ridgeway.sources.stage import reused, staged
+from ridgeway.sources.stage import reused, staged_for
 
 TEST_PART = -1
 RESULT_SCHEMA = "step string, alpha double, r2 double"
@@ -80,6 +80,9 @@ class ExperimentResult:
     ridge_r2: float | None
     mllib_r2: float | None
     compared: bool
+    # how the model compared with was solved, and the components used (None: no reduction)
+    mllib_solver: str | None = None
+    components: int | None = None
 
     def rows(self) -> list[tuple[str, float, float | None]]:
         """Mean score per penalty, then the test scores at the chosen penalty."""
@@ -145,17 +148,18 @@ def run_experiment(
     seed: int = 0,
     compare: bool = True,
     refit_per_fold: bool = False,
-    keep: str = "cache",
+    keep: str = "table",
 ) -> ExperimentResult:
     """Run a preset on a table.
 
     Features are scaled by the whole training set before folds are cut;
     ``refit_per_fold`` scales by each fold's own training rows instead.
 
-    ``keep`` says what happens to the prepared rows between the passes: 'cache'
-    holds them in the executors' memory and disk, 'table' writes them to the
-    shared folder (which survives executors), 'nothing' prepares them anew for
-    each pass (the cheapest where there is no join and no comparison).
+    ``keep`` says what happens to the prepared rows between the passes: 'table'
+    writes them to the shared folder (which survives executors) and deletes them
+    at the end, 'cache' holds them in the executors' memory and disk, 'nothing'
+    prepares them anew for each pass (the cheapest where there is no join and no
+    comparison).
     """
     spec = preset.select(spec, seed)
     rows = prepare(df, spec, folds, weights, seed)
@@ -163,8 +167,9 @@ def run_experiment(
         with reused(rows) as kept:
             return _run(kept, spec, preset, compare, refit_per_fold)
     if keep == "table":
-        rows = staged(rows, preset.name)
-    elif keep != "nothing":
+        with staged_for(rows, preset.name) as kept:
+            return _run(kept, spec, preset, compare, refit_per_fold)
+    if keep != "nothing":
         raise ValueError("keep must be 'cache', 'table' or 'nothing'")
     return _run(rows, spec, preset, compare, refit_per_fold)
 
@@ -173,34 +178,40 @@ def _run(
     rows: DataFrame, spec: FeatureSpec, preset: Preset, compare: bool, refit_per_fold: bool
 ) -> ExperimentResult:
     train_rows = rows.filter(F.col("part") != TEST_PART)
-    test_rows = rows.filter(F.col("part") == TEST_PART)
     design = make_design(train_rows, spec)
     used = spec.with_categoricals(design.categoricals)
     width = len(design.terms)
     pca_k = preset.pca_k and min(preset.pca_k, width)
 
+    solver, mllib_r2, features = solver_for(pca_k or width), None, None
     if width > MAX_WIDTH:
         if pca_k or refit_per_fold:
             raise ValueError(f"{width} features are too wide for a covariance matrix")
         fitted = feature_pipeline(used, centre=False).fit(train_rows)
         scores, alpha, fit, ridge_r2 = _fit_wide(fitted, rows, design, spec.label, preset.alphas)
+        if compare:
+            features = fitted.transform(rows)
     else:
         table = moments(rows, design, spec.label, by=["part"])
         per_part = {group[0]: m for group, m in table.collect().items()}
-        scores, alpha, fit, ridge_r2 = _fit_moments(per_part, preset.alphas, pca_k, refit_per_fold)
-
-    mllib_r2 = None
-    if compare:
-        features = feature_pipeline(used, pca_k, centre=False).fit(train_rows)
-        model = linear_regression(features.transform(train_rows), spec.label, alpha)
-        mllib_r2 = r2_on(model, features.transform(test_rows), spec.label)
-    return ExperimentResult(preset.name, design, scores, alpha, fit, ridge_r2, mllib_r2, compare)
+        basis, outcome = _fit_moments(per_part, preset.alphas, pca_k, refit_per_fold)
+        scores, alpha, fit, ridge_r2 = outcome
+        if compare:
+            features = design_vectors(rows, design, basis, ["part", spec.label])
+
+    if features is not None:
+        train = features.filter(F.col("part") != TEST_PART)
+        model = linear_regression(train, spec.label, alpha, solver=solver)
+        mllib_r2 = r2_on(model, features.filter(F.col("part") == TEST_PART), spec.label)
+    return ExperimentResult(
+        preset.name, design, scores, alpha, fit, ridge_r2, mllib_r2, compare, solver if compare else None, pca_k
+    )
 
 
 def _fit_moments(
     per_part: dict[int, Moments], alphas: Sequence[float], pca_k: int | None, refit_per_fold: bool
-) -> Outcome:
-    """Penalty, model and test score from the moments of the parts."""
+) -> tuple[np.ndarray, Outcome]:
+    """The feature scale, and penalty, model and test score from the moments of the parts."""
     per_fold = {part: m for part, m in per_part.items() if part != TEST_PART}
     if not per_fold:
         raise ValueError("no training rows")
@@ -214,7 +225,7 @@ def _fit_moments(
         alpha = best_alpha(mean_scores(scores))
     fit = fit_moments(train, alpha, basis)
     test = per_part.get(TEST_PART)
-    return scores, alpha, fit, r2_from_moments(test, fit) if test else None
+    return basis, (scores, alpha, fit, r2_from_moments(test, fit) if test else None)
 
 
 def _fit_wide(

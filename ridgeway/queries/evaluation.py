@@ -63,3 +63,17 @@ def r2_score(spark, sf_dir):
         F.round(metrics.r2("y", "prediction"), 9).alias("r2"),
         F.round(constant, 9).alias("r2_constant"),
     )
+
+
+@query(f"""WITH {_SCORED}, holed AS (
+  SELECT l_returnflag, CASE WHEN l_linenumber = 3 THEN NULL ELSE y END AS y,
+         CASE WHEN l_linenumber = 2 THEN NULL ELSE prediction END AS prediction FROM scored)
+SELECT l_returnflag, {_METRICS} FROM holed WHERE y IS NOT NULL AND prediction IS NOT NULL GROUP BY l_returnflag""")
+def metrics_with_nulls(spark, sf_dir):
+    """Rows without label or prediction count for no metric."""
+    holed = _scored(spark, sf_dir).select(
+        "l_returnflag",
+        F.when(F.col("l_linenumber") != 3, F.col("y")).alias("y"),
+        F.when(F.col("l_linenumber") != 2, F.col("prediction")).alias("prediction"),
+    )
+    return _rounded(metrics.regression_metrics(holed, "y", "prediction", ["l_returnflag"]), "l_returnflag")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ridgeway.operators.metrics import regression_metrics
 from ridgeway.operators.ridge import fit_ridge
-from ridgeway.operators.split import random_split
+from ridgeway.operators.rows import drop_null_label, fill_nulls
+from ridgeway.operators.split import random_split, split_index
 from ridgeway.plans.experiment import PRESETS, run_experiment
 from ridgeway.queries import sql
 from ridgeway.queries.registry import query
@@ -21,9 +22,15 @@ FEWER = {"experiment2": {"categoricals": 1}, "experiment3": {"categoricals": 4},
 
 
 def _experiment_sql(
-    categoricals: int, alphas: tuple[float, ...] = (0.01, 0.1, 1.0), components: int | None = None
+    categoricals: int,
+    alphas: tuple[float, ...] = (0.01, 0.1, 1.0),
+    components: int | None = None,
+    predictions: bool = False,
 ) -> str:
-    """An experiment in SQL: one matrix per part, axes by powers, fits by elimination."""
+    """An experiment in SQL: one matrix per part, axes by powers, fits by elimination.
+
+    Its scores, or with ``predictions`` what the final fit says of the test rows.
+    """
     dense = [*sql.NUMERICALS, "line_rank", "priority_rank"]
     label = 9999
     dense_cells = "\n  UNION ALL ".join(
@@ -50,6 +57,17 @@ basis AS MATERIALIZED (
   FROM loadings JOIN (SELECT i, d, row_number() OVER (ORDER BY i) AS place FROM scale) USING (place)
 )"""
     cv = "SELECT 'cv' AS step, alpha, round(mean_r2, 9) AS r2 FROM means UNION ALL" if len(alphas) > 1 else ""
+    result = f"""{cv}
+SELECT model AS step, alpha, round(r2, 9) AS r2 FROM scores JOIN best USING (alpha) WHERE id = 5"""
+    if predictions:
+        result = f""", final AS (SELECT i, b FROM slopes WHERE id = 5 AND model = 'ridge'),
+base AS (
+  SELECT any_value(my.mean) - sum(b * a.mean) AS b0
+  FROM final JOIN averages a ON a.id = 5 AND a.i = final.i, averages my WHERE my.id = 5 AND my.i = {label}
+)
+SELECT {sql.KEYS}, round(any_value(b0) + sum(c.x * b), 3) AS prediction
+FROM ranked JOIN cells c ON c.rid = ranked.rid JOIN final ON final.i = c.pos, base
+WHERE ranked.part = -1 GROUP BY {sql.KEYS}"""
     return f"""WITH RECURSIVE {sql.MODEL},
 rows AS MATERIALIZED (
   SELECT *, CASE WHEN is_train THEN fold ELSE -1 END AS part, row_number() OVER () AS rid FROM model
@@ -166,8 +184,7 @@ scores AS MATERIALIZED (
 ),
 means AS (SELECT alpha, avg(r2) AS mean_r2 FROM scores WHERE id < 5 GROUP BY alpha),
 best AS (SELECT alpha FROM means ORDER BY mean_r2 DESC, alpha LIMIT 1)
-{cv}
-SELECT model AS step, alpha, round(r2, 9) AS r2 FROM scores JOIN best USING (alpha) WHERE id = 5"""
+{result}"""
 
 
 def _run(spark, sf_dir, name):
@@ -206,6 +223,16 @@ def experiment5(spark, sf_dir):
     return _run(spark, sf_dir, "experiment5")
 
 
+@query(_experiment_sql(6, (1.0,), predictions=True))
+def predict_experiment5(spark, sf_dir):
+    """The final model of an experiment on the raw columns of the test rows."""
+    rows = model_rows(spark, sf_dir)
+    result = run_experiment(rows, SPEC, PRESETS["experiment5"], compare=False)
+    test = rows.filter(split_index(SPEC.keys, [0.7, 0.3], 0) != 0)
+    scored = result.predict(fill_nulls(drop_null_label(test, SPEC.label), SPEC.numericals))
+    return scored.select(*LINE_KEYS, F.round("prediction", 3).alias("prediction"))
+
+
 @query(f"""WITH {sql.LINES}, train AS (SELECT * FROM lines WHERE is_train),
 test AS (SELECT * FROM lines WHERE NOT is_train),
 fit AS ({sql.two_feature_fit('train', '0.1')}),

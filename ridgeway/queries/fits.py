@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from ridgeway.operators import crossval, metrics, mllib
 from ridgeway.operators.encode import assemble
+from ridgeway.operators.moments import Design, moments
 from ridgeway.operators.ridge import (
     RidgeRegression,
     alpha_to_regparam,
+    fit_moments,
     fit_ridge,
     fit_ridge_grouped,
+    only_moments,
 )
 from ridgeway.operators.split import random_split, with_fold
 from ridgeway.queries import sql
@@ -45,6 +48,42 @@ def ridge_fit(spark, sf_dir):
     return frame.select(*(significant(c, 7).alias(c) for c in frame.columns))
 
 
+_HOLED = """(SELECT * FROM train WHERE l_linenumber NOT IN (2, 3))"""
+
+
+@query(f"""WITH {sql.LINES}, train AS (SELECT * FROM lines WHERE is_train),
+fit AS ({sql.two_feature_fit(_HOLED, str(ALPHA))})
+SELECT plan, {sql.significant('b0', 7)} AS intercept, {sql.significant('b1', 7)} AS slope_price,
+       {sql.significant('b2', 7)} AS slope_discount FROM fit, (VALUES ('arrow'), ('native')) p(plan)""")
+def ridge_fit_nulls(spark, sf_dir):
+    """Rows with a null feature or label are skipped, by both plans alike."""
+    train, _ = train_and_test(spark, sf_dir)
+    holed = train.withColumns(
+        {
+            "l_extendedprice": F.when(F.col("l_linenumber") != 2, F.col("l_extendedprice")),
+            "y": F.when(F.col("l_linenumber") != 3, F.col("y")),
+        }
+    )
+    fits = [(p, fit_ridge(holed, TWO, "y", ALPHA, plan=p)) for p in ("arrow", "native")]
+    rows = [(p, float(f.intercept), *map(float, f.slopes)) for p, f in fits]
+    frame = spark.createDataFrame(rows, "plan string, intercept double, slope_price double, slope_discount double")
+    return frame.select("plan", *(significant(c, 7).alias(c) for c in frame.columns[1:]))
+
+
+@query(f"""WITH {sql.LINES}, far AS (SELECT l_extendedprice + 1e9 AS x, y FROM lines)
+SELECT plan, {sql.significant('slope', 6)} AS slope, {sql.significant('mean', 9)} AS mean
+FROM (SELECT regr_slope(y, x) AS slope, avg(x) AS mean FROM far), (VALUES ('arrow'), ('native')) p(plan)""")
+def ridge_fit_offset(spark, sf_dir):
+    """A feature far from zero keeps its slope, by both plans."""
+    far = lines(spark, sf_dir).select((F.col("l_extendedprice") + 1e9).alias("x"), "y")
+    rows = []
+    for plan in ("arrow", "native"):
+        found = only_moments(moments(far, Design(numericals=("x",)), "y", plan=plan))
+        rows.append((plan, float(fit_moments(found, 0.0).slopes[0]), float(found.means[0])))
+    frame = spark.createDataFrame(rows, "plan string, slope double, mean double")
+    return frame.select("plan", significant("slope", 6).alias("slope"), significant("mean", 9).alias("mean"))
+
+
 def _system_sql(source: str, features: list[str], alpha: float) -> str:
     """Normal equations on centred columns, as one list of rows."""
     p = len(features)

@@ -12,6 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -20,23 +21,36 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a folder of its
-    own; on a cluster a machine-local folder would not be seen by the others.
+    Only a local session without that setting uses a folder of its own; on a
+    cluster a machine-local folder would not be seen by the others. The session
+    is left as it is.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="ridgeway-")
-    context.setCheckpointDir(folder)
-    return folder
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="ridgeway-")
+
+
+def _path(spark: SparkSession, folder: str):
+    """The folder's file system and path, as Spark sees them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses; it goes when the session's JVM ends."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    files, path = _path(spark, folder)
+    files.deleteOnExit(path)
+    return folder
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -47,6 +61,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged_for(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Stage ``df`` for the block and delete the written table afterwards."""
+    spark = df.sparkSession
+    folder = new_folder(spark, name)
+    df.write.parquet(folder)
+    try:
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        files, path = _path(spark, folder)
+        files.delete(path, True)
+
+
 @contextmanager
 def reused(
     df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK

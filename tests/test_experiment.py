@@ -124,8 +124,9 @@ def brute_force(table, spec, preset, design):
 
     folds = {}
     if len(preset.alphas) > 1:
-        for k in (3,):
-            folds[k] = score(0.1, train.filter(F.col("part") != k), train.filter(F.col("part") == k))
+        for k in range(5):
+            fitted_on, scored_on = train.filter(F.col("part") != k), train.filter(F.col("part") == k)
+            folds |= {(alpha, k): score(alpha, fitted_on, scored_on) for alpha in preset.alphas}
     return folds, lambda alpha: score(alpha, train, test)
 
 
@@ -134,9 +135,9 @@ def test_experiments_equal_the_long_way(table, spec, name):
     preset = small(PRESETS[name], spec)
     result = run_experiment(table, spec, preset)
     folds, final = brute_force(table, spec, preset, result.design)
-    for k, want in folds.items():
-        found = [s for a, f, s in result.fold_scores if (a, f) == (0.1, k)]
-        assert found == [pytest.approx(want, abs=1e-7)]
+    assert len(folds) == len(result.fold_scores)
+    for alpha, k, found in result.fold_scores:
+        assert found == pytest.approx(folds[alpha, k], abs=1e-7)
     assert result.ridge_r2 == pytest.approx(final(result.alpha), abs=1e-7)
     assert len(result.fold_scores) == (15 if len(preset.alphas) > 1 else 0)
     assert "DEAD" not in result.design.categoricals
@@ -158,7 +159,7 @@ def test_scores_of_native_prediction_equal_those_of_moments(table, spec):
 
 @pytest.mark.parametrize("keep", ["table", "nothing"])
 def test_keeping_rows_changes_no_result(table, spec, keep):
-    cached = run_experiment(table, spec, PRESETS["experiment1"], compare=False)
+    cached = run_experiment(table, spec, PRESETS["experiment1"], compare=False, keep="cache")
     other = run_experiment(table, spec, PRESETS["experiment1"], compare=False, keep=keep)
     assert [r[:2] for r in cached.rows()] == [r[:2] for r in other.rows()]
     assert np.allclose([r[2] for r in cached.rows()], [r[2] for r in other.rows()], atol=1e-11)
