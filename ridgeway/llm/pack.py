@@ -26,7 +26,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -48,6 +47,9 @@ BATCH = 64
 
 
 def tokenizer_path() -> str:
+    """The vocabulary used where no other file is named."""
+    import public_tokenizers
+
     return public_tokenizers.path("word_bpe_49k.json")
 
 

@@ -36,7 +36,7 @@ FEATURES = (
     "beyond_ascii", "word_after_itself", "distinct_words", "repeated_lines", "words_per_line",
 )
 #: Labelled documents that the model is fitted on, about.
-FIT_ROWS = 50_000
+FIT_ROWS = 15_000
 THRESHOLD = 0.7
 
 
