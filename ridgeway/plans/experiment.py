@@ -3,7 +3,7 @@
 The rows are read for two aggregations only: label frequencies of the coded
 columns, and second moments per fold (the test rows being one more group). All
 fits and scores follow from the moments. Designs too wide for that are fitted
-iteratively instead. The comparison with Spark's own LinearRegression is a third
+by conjugate gradients, all penalties and folds in the same passes. The comparison with Spark's own LinearRegression is a third
 step that can be left out.
 """
 
@@ -15,16 +15,16 @@ from functools import reduce
 from operator import add
 
 import numpy as np
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridgeway.operators import wide
 from ridgeway.operators.columns import FeatureSpec, random_subset
 from ridgeway.operators.crossval import ALPHAS, best_alpha, mean_scores, score_folds
 from ridgeway.operators.encode import design_vectors, fit_labels, predict_design
-from ridgeway.operators.mllib import feature_pipeline, linear_regression, r2_on, solver_for
+from ridgeway.operators.mllib import linear_regression, r2_on, solver_for
 from ridgeway.operators.moments import MAX_WIDTH, Design, Moments, moments
-from ridgeway.operators.ridge import LinearFit, fit_moments, fit_ridge_iterative, r2_from_moments
+from ridgeway.operators.ridge import LinearFit, fit_moments, r2_from_moments
 from ridgeway.operators.rows import drop_null_label, fill_nulls
 from ridgeway.operators.solvers import principal_axes
 from ridgeway.operators.split import fold_index, split_index
@@ -185,19 +185,14 @@ def _run(
 
     solver, mllib_r2, features = solver_for(pca_k or width), None, None
     if width > MAX_WIDTH:
-        if pca_k or refit_per_fold:
-            raise ValueError(f"{width} features are too wide for a covariance matrix")
-        fitted = feature_pipeline(used, centre=False).fit(train_rows)
-        scores, alpha, fit, ridge_r2 = _fit_wide(fitted, rows, design, spec.label, preset.alphas)
-        if compare:
-            features = fitted.transform(rows)
+        basis, outcome = _fit_wide(rows, design, spec.label, preset.alphas, pca_k, refit_per_fold)
     else:
         table = moments(rows, design, spec.label, by=["part"])
         per_part = {group[0]: m for group, m in table.collect().items()}
         basis, outcome = _fit_moments(per_part, preset.alphas, pca_k, refit_per_fold)
-        scores, alpha, fit, ridge_r2 = outcome
-        if compare:
-            features = design_vectors(rows, design, basis, ["part", spec.label])
+    scores, alpha, fit, ridge_r2 = outcome
+    if compare:
+        features = design_vectors(rows, design, basis, ["part", spec.label])
 
     if features is not None:
         train = features.filter(F.col("part") != TEST_PART)
@@ -209,14 +204,18 @@ def _run(
 
 
 def _fit_moments(
-    per_part: dict[int, Moments], alphas: Sequence[float], pca_k: int | None, refit_per_fold: bool
+    per_part: dict[int, Moments],
+    alphas: Sequence[float],
+    pca_k: int | None,
+    refit_per_fold: bool,
+    scaled: bool = False,
 ) -> tuple[np.ndarray, Outcome]:
     """The feature scale, and penalty, model and test score from the moments of the parts."""
     per_fold = {part: m for part, m in per_part.items() if part != TEST_PART}
     if not per_fold:
         raise ValueError("no training rows")
     train = reduce(add, per_fold.values())
-    basis = scale_basis(train, pca_k)
+    basis = np.ones(train.p) if scaled else scale_basis(train, pca_k)
     scores: list[FoldScore] = []
     alpha = alphas[0]
     if len(alphas) > 1:
@@ -229,27 +228,47 @@ def _fit_moments(
 
 
 def _fit_wide(
-    fitted: PipelineModel, rows: DataFrame, design: Design, label: str, alphas: Sequence[float]
-) -> Outcome:
-    """The same by iterative fits on sparse vectors, one per penalty and fold."""
-    vectors = fitted.transform(rows).select("part", label, "features")
-    train = vectors.filter(F.col("part") != TEST_PART)
-    scores: list[FoldScore] = []
-    alpha = alphas[0]
-    if len(alphas) > 1:
-        parts = [r["part"] for r in train.select("part").distinct().collect()]
-        for candidate in alphas:
-            for fold in sorted(parts):
-                model = fit_ridge_iterative(
-                    train.filter(F.col("part") != fold), "features", label, candidate
-                )
-                held_out = train.filter(F.col("part") == fold)
-                scores.append((float(candidate), fold, r2_on(model, held_out, label)))
-        alpha = best_alpha(mean_scores(scores))
-    model = fit_ridge_iterative(train, "features", label, alpha)
-    deviations = fitted.stages[-1].std.toArray()
-    slopes = np.divide(
-        model.coefficients.toArray(), deviations, out=np.zeros_like(deviations), where=deviations > 0
-    )
-    fit = LinearFit(design.terms, float(model.intercept), slopes)
-    return scores, alpha, fit, r2_on(model, vectors.filter(F.col("part") == TEST_PART), label)
+    rows: DataFrame,
+    design: Design,
+    label: str,
+    alphas: Sequence[float],
+    pca_k: int | None,
+    refit_per_fold: bool,
+) -> tuple[np.ndarray, Outcome]:
+    """The same without a Gram matrix: all penalties and folds in the same passes."""
+    blocks = wide.WideRows(rows, design, label)
+    folds = [int(p) for p in blocks.parts if p != TEST_PART]
+    if not folds:
+        raise ValueError("no training rows")
+    if refit_per_fold:
+        raise ValueError("designs without a Gram matrix are scaled by all training rows")
+    sums = blocks.sums()
+    scale = wide.scales(sums, np.isin(blocks.parts, folds))
+    if pca_k:
+        basis = scale[:, None] * wide.principal_axes(blocks, sums, scale, folds, pca_k)
+        scored = wide.projected(blocks, basis, label)
+        table = moments(scored, Design(arrays=(("scores", pca_k),)), label, by=["part"])
+        per_part = {group[0]: m for group, m in table.collect().items()}
+        scores, alpha, fit, test_r2 = _fit_moments(per_part, alphas, None, False, scaled=True)[1]
+        slopes = basis @ fit.slopes
+        intercept = fit.intercept - blocks.pivot[:-1] @ slopes
+        return basis, (scores, alpha, LinearFit(design.terms, float(intercept), slopes), test_r2)
+
+    held = [*folds, None] if len(alphas) > 1 else [None]
+    systems = [wide.System(a, f) for a in alphas for f in held]
+    slopes, intercepts = wide.solve(blocks, sums, scale, systems, folds)
+    # a fold's complement is scored on the fold, all training rows on the test rows
+    scored_on = [TEST_PART if s.held_out is None else s.held_out for s in systems]
+    uses = np.stack([blocks.parts == part for part in scored_on], axis=1)
+    errors = blocks.squared_errors(slopes, intercepts, uses)
+    found: dict[wide.System, float | None] = {}
+    for system, use, error in zip(systems, uses.T, errors):
+        part = sums.over(use)
+        total = part.yy - part.y**2 / part.n if part.n else 0.0
+        found[system] = float(1 - error / total) if total > 1e-13 * part.yy else None
+    scores = [(float(s.alpha), s.held_out, found[s]) for s in systems if s.held_out is not None]
+    alpha = best_alpha(mean_scores(scores)) if scores else alphas[0]
+    chosen = systems.index(wide.System(alpha, None))
+    slope = slopes[:, chosen]
+    intercept = intercepts[chosen] + blocks.pivot[-1] - blocks.pivot[:-1] @ slope
+    return scale, (scores, alpha, LinearFit(design.terms, float(intercept), slope), found[systems[chosen]])

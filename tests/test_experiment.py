@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridgeway.operators import metrics
-from ridgeway.operators import ridge as ridge_module
 from ridgeway.operators.mllib import feature_pipeline
 from ridgeway.operators.ridge import RidgeRegression
 from ridgeway.plans import census
@@ -178,18 +177,28 @@ def test_scaling_per_fold_is_another_score(table, spec):
     assert np.allclose([s for *_, s in once.fold_scores], [s for *_, s in anew.fold_scores], atol=0.01)
 
 
-def test_wide_designs_are_fitted_iteratively(table, spec, monkeypatch):
-    preset = replace(PRESETS["experiment2"], categoricals=2, alphas=(1.0, 30.0))
-    want = run_experiment(table, spec, preset, folds=2, compare=False)
+@pytest.mark.parametrize("name", ["experiment2", "experiment4", "experiment5"])
+def test_wide_designs_give_the_same_results(table, spec, monkeypatch, name):
+    preset = small(PRESETS[name], spec)
+    want = run_experiment(table, spec, preset, folds=3)
+    monkeypatch.setattr(plans, "MAX_WIDTH", 5)
+    found = run_experiment(table, spec, preset, folds=3)
+    assert found.alpha == want.alpha and len(found.fold_scores) == len(want.fold_scores)
+    assert [r[:2] for r in found.rows()] == [r[:2] for r in want.rows()]
+    assert np.allclose([s for *_, s in found.fold_scores], [s for *_, s in want.fold_scores], atol=1e-8)
+    assert found.ridge_r2 == pytest.approx(want.ridge_r2, abs=1e-8)
+    assert found.mllib_r2 == pytest.approx(want.mllib_r2, abs=1e-6)
+    assert np.allclose(found.fit.slopes, want.fit.slopes, rtol=1e-5, atol=1e-5 * np.abs(want.fit.slopes).max())
+    assert found.fit.intercept == pytest.approx(want.fit.intercept, rel=1e-6, abs=1e-3)
+    with pytest.raises(ValueError, match="all training rows"):
+        run_experiment(table, spec, preset, compare=False, refit_per_fold=True)
+
+
+def test_gradients_that_do_not_converge_are_an_error(table, spec, monkeypatch):
     monkeypatch.setattr(plans, "MAX_WIDTH", 5)
-    monkeypatch.setattr(ridge_module, "MAX_WIDTH", 5)
-    found = run_experiment(table, spec, preset, folds=2, compare=False)
-    assert found.alpha == want.alpha
-    assert np.allclose([s for *_, s in found.fold_scores], [s for *_, s in want.fold_scores], atol=1e-5)
-    assert found.ridge_r2 == pytest.approx(want.ridge_r2, abs=1e-5)
-    assert np.allclose(found.fit.slopes, want.fit.slopes, rtol=1e-2, atol=0.5)
-    with pytest.raises(ValueError, match="too wide"):
-        run_experiment(table, spec, PRESETS["experiment4"], compare=False)
+    monkeypatch.setattr(plans.wide, "MOST_PASSES", 2)
+    with pytest.raises(ArithmeticError, match="convergence"):
+        run_experiment(table, spec, PRESETS["experiment1"], compare=False)
 
 
 def test_bad_options(table, spec):
