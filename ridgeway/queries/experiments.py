@@ -67,7 +67,7 @@ base AS (
 )
 SELECT {sql.KEYS}, round(any_value(b0) + sum(c.x * b), 3) AS prediction
 FROM ranked JOIN cells c ON c.rid = ranked.rid JOIN final ON final.i = c.pos, base
-WHERE ranked.part = -1 GROUP BY {sql.KEYS}"""
+WHERE ranked.part = -1 GROUP BY ranked.rid, {sql.KEYS}"""
     return f"""WITH RECURSIVE {sql.MODEL},
 rows AS MATERIALIZED (
   SELECT *, CASE WHEN is_train THEN fold ELSE -1 END AS part, row_number() OVER () AS rid FROM model
