@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: Words that a worker remembers; the memory is emptied when it is full.
@@ -16,6 +16,10 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIMPLE = re.compile(f"([{_LETTERS}]+)([.,;:!?*#$%&|<>()-]*)")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _byte_letters() -> dict[int, str]:
     """Byte-level vocabularies write byte b as this letter: itself if visible, else from 256 on."""
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -42,13 +46,13 @@ class WordEncoder:
         self.cores: dict[str, bytes] = {}
 
     def _whole(self, part: str) -> bytes:
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(part, add_special_tokens=False).ids)
 
     def _core(self, core: str) -> bytes:
         ids = self.cores.get(core)
         if ids is None:
             spelled = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
-            ids = self.cores[core] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+            ids = self.cores[core] = _packed([t.id for t in self.model.tokenize(spelled)])
         return ids
 
     def _encode(self, part: str) -> bytes:
@@ -70,9 +74,12 @@ class WordEncoder:
         if len(self.words) > REMEMBERED:
             self.words, self.cores = {"": b""}, {}
         parts = text.replace("\n", " ").split(" ")
-        known = self.words.get
-        try:
-            return b"".join(map(known, parts))
-        except TypeError:  # a part that isn't known yet
-            encode = self._encode
-            return b"".join([encode(p) if (b := known(p)) is None else b for p in parts])
+        found = list(map(self.words.get, parts))
+        if None in found:  # parts that aren't known yet
+            encode, known = self._encode, self.words.get
+            for i, ids in enumerate(found):
+                if ids is None:
+                    part = parts[i]
+                    ids = known(part)  # it may have come up since
+                    found[i] = encode(part) if ids is None else ids
+        return b"".join(found)
