@@ -8,7 +8,9 @@ configurations that cover the histogram. Multiplicative weights solve it: each r
 a knapsack dynamic program prices the configuration that is worth most at the present
 weights, it and those nearly as dear are used, and the weights of what they cover
 sink. The fractional uses are rounded down, and what is left is packed best fit
-decreasing, also on the histogram.
+decreasing, also on the histogram. Where that needs over ``GAP`` more sequences than the
+tokens fill, small steps with averaged uses are taken as well, until they are within
+``GAP`` of the dual bound or ``SMALL_STEPS`` are done, and the better packing is kept.
 
 The rank of a piece among those of its length (a count within its task, and an offset
 per task and length) decides its place, so no group of equal lengths is gathered.
@@ -43,6 +45,10 @@ ROUNDS = 120
 SHARPNESS = 0.5
 POWER = 1.2
 NEAR = 0.01
+#: Of the averaged uses: wanted gap to the bound, share of a length that a step covers, steps at most.
+GAP = 0.002
+STEP = 0.02
+SMALL_STEPS = 400
 BATCH = 64
 
 
@@ -112,6 +118,39 @@ def _configurations(counts: np.ndarray) -> dict[tuple[tuple[int, int], ...], flo
     return uses
 
 
+def _averaged(counts: np.ndarray) -> dict[tuple[tuple[int, int], ...], float]:
+    """Configurations with the averaged uses of many small steps.
+
+    A step uses the dearest configuration until a share ``STEP`` of one of its lengths is
+    covered. Lengths covered less than others become dearer. The uses so far, scaled until
+    every length is covered, are a solution; prices by the dearest worth are a bound.
+    """
+    capacity = len(counts) - 1
+    lengths = np.flatnonzero(counts)
+    need = counts[lengths].astype(float)
+    at = {int(v): i for i, v in enumerate(lengths)}
+    done, bound, least = np.zeros(len(lengths)), 0.0, np.inf
+    uses: dict[tuple[tuple[int, int], ...], float] = defaultdict(float)
+    best: dict[tuple[tuple[int, int], ...], float] = {}
+    for _ in range(SMALL_STEPS):
+        price = lengths / capacity * np.exp(-SHARPNESS * (done - done.min()))
+        dearest, taken = _priced(price, lengths, capacity)
+        worth = price + dearest[capacity - lengths]
+        i = int(worth.argmax())
+        bound = max(bound, float(price @ need / worth[i]))
+        config = _content(int(lengths[i]), capacity - int(lengths[i]), taken)
+        use = STEP * min(need[at[v]] / a for v, a in config)
+        uses[config] += use
+        for v, a in config:
+            done[at[v]] += use * a / need[at[v]]
+        if done.min() > 0 and sum(uses.values()) / done.min() < least:
+            least = sum(uses.values()) / done.min()
+            best = {c: n / done.min() for c, n in uses.items()}
+        if least <= (1 + GAP) * bound:
+            break
+    return best
+
+
 def best_fit(counts: np.ndarray) -> list[Pattern]:
     """Best fit decreasing over a histogram; equal sequences are kept as one with a count."""
     capacity = len(counts) - 1
@@ -159,8 +198,18 @@ def pack_histogram(counts: np.ndarray) -> list[Pattern]:
     patterns: list[Pattern] = [(((capacity, 1),), full)] if full else []
     if not rest.any():
         return patterns
-    left = rest.copy()
-    for config, use in sorted(_configurations(rest).items(), key=lambda x: -x[1]):
+    found = _rounded(rest, _configurations(rest))
+    tokens = int((rest * np.arange(capacity + 1)).sum())
+    if sum(n for _, n in found) > (1 + GAP) * tokens / capacity + 1:
+        found = min(found, _rounded(rest, _averaged(rest)), key=lambda x: sum(n for _, n in x))
+    return patterns + found
+
+
+def _rounded(counts: np.ndarray, uses: dict[tuple[tuple[int, int], ...], float]) -> list[Pattern]:
+    """Uses rounded down, and what is left best fit decreasing."""
+    left = counts.copy()
+    patterns: list[Pattern] = []
+    for config, use in sorted(uses.items(), key=lambda x: -x[1]):
         times = min(int(use + 1e-6), *(int(left[v]) // a for v, a in config))
         if times > 0:
             patterns.append((config, times))

@@ -64,6 +64,15 @@ def test_few_sequences():
     assert sum(int(n + 1e-6) * sum(v * a for v, a in c) for c, n in solved.items()) > 0.8 * tokens
 
 
+@pytest.mark.parametrize("lengths", [(1000, 600, 448), (900, 700, 448), (1200, 848)])
+def test_spikes_that_fit_exactly(lengths):
+    counts = np.zeros(2049, np.int64)
+    counts[list(lengths)] = 9000
+    patterns = pack.pack_histogram(counts)
+    assert unpacked(patterns, 2048).tolist() == counts.tolist()
+    assert sum(n for _, n in patterns) <= 1.002 * 9000 + 1
+
+
 @pytest.mark.parametrize("capacity", [2048, 16])
 def test_contract(spark, capacity):
     texts = [*TEXTS, None, TEXTS[-1], " ".join(prose(9, 40))]
