@@ -246,7 +246,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, thr
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score reaches the threshold."""
+    """The rows of ``docs``, all columns, whose score reaches the threshold; all if no label is usable."""
+    if labelled_sample(docs, labels, rows).isEmpty():
+        return docs
     model = fit_quality(docs, labels, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

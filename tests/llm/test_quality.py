@@ -54,3 +54,11 @@ def test_awkward_documents(spark):
     kept = quality.drop_rejected(docs, labels, threshold=0.0)
     assert kept.columns == docs.columns and kept.count() == len(texts)
     assert quality.drop_rejected(docs, labels, threshold=1.1).count() == 0
+
+
+def test_without_labels_nothing_is_dropped(spark):
+    docs = awkward(spark, prose(6, 8))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    kept_back = spark.range(8).selectExpr("id AS doc_id", "1 AS quality").where(held_out())
+    for none in (labels.limit(0), labels.withColumn("quality", F.lit(None).cast("int")), kept_back):
+        assert quality.drop_rejected(docs, none, threshold=0.7).count() == 8
