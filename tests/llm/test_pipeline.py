@@ -97,3 +97,42 @@ def test_stages_of_awkward_tables(spark):
         found = stage(spark, docs, SF)
         assert name == "pack" or found.schema.simpleString() == docs.schema.simpleString()
         found.collect()
+
+
+def without_copies_quick(rows, min_words):
+    """The texts after deletion, from the shortest runs from and up to each line, as in OP7."""
+    seen, out = set(), {}
+    for d, text in sorted(rows):
+        body = text.split("\n")
+        words = [len(space_words(x)) for x in body]
+        runs = set()
+        for at in range(len(body)):
+            for step in (1, -1):
+                total, end = 0, at
+                while 0 <= end < len(body):
+                    total += words[end]
+                    if total >= min_words:
+                        runs.add((min(at, end), max(at, end)))
+                        break
+                    end += step
+        cut = set()
+        for a, b in sorted(runs):
+            run = tuple(body[a : b + 1])
+            if run in seen:
+                cut.update(range(a, b + 1))
+            seen.add(run)
+        out[d] = "\n".join(x for i, x in enumerate(body) if i not in cut)
+    return out
+
+
+def test_line_dedup_of_every_document(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    r = np.random.default_rng(7)
+    # documents of 60 lines and more that share lines are compared too
+    stock = [f"line {i} of five words" for i in range(90)]
+    long = [(10**9 + k, "\n".join(stock[a:])) for k, a in enumerate(r.integers(0, 25, 6).tolist())]
+    both = docs.unionByName(spark.createDataFrame(long, docs.schema))
+    start = [(x.doc_id, x.text) for x in both.collect()]
+    want = without_copies_quick(start, 50)
+    assert {x.doc_id: x.text for x in STAGES["line_dedup"](spark, both, SF).collect()} == want
+    assert sum(want[d] != t for d, t in start) >= 5
