@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeway.llm import decontaminate, language, lines, pack, private, quality, rules, shard, simhash, sql_twins, urls
+from ridgeway.llm import (
+    audit,
+    decontaminate,
+    fim,
+    language,
+    lines,
+    pack,
+    private,
+    quality,
+    rules,
+    shard,
+    simhash,
+    sql_twins,
+    urls,
+)
 from ridgeway.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +67,14 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.private_spans(read(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(read(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -65,8 +87,15 @@ def queries() -> dict[str, Query]:
         "op8_url_filters": op8_url_filters,
         "op7_line_dedup": op7_line_dedup,
         "op4_personal_data": op4_personal_data,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": sql_twins.OP2, "op7_line_dedup": sql_twins.OP7}
+    return {
+        "op2_decontamination": sql_twins.OP2,
+        "op7_line_dedup": sql_twins.OP7,
+        "op12_fill_in_middle": sql_twins.OP12,
+        "op13_filter_audit": sql_twins.OP13,
+    }

@@ -63,3 +63,79 @@ WITH d AS (
 SELECT doc_id, kept.text, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_deleted, 0)::BIGINT AS n_deleted
 FROM documents LEFT JOIN kept USING (doc_id)
 """
+
+_DRAWN = "('0x' || substr(d, {}, 8))::BIGINT"
+
+OP12 = f"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d
+  FROM documents
+), h AS (
+  SELECT doc_id, text, n, {_DRAWN.format(1)} % (n + 1) AS c1, {_DRAWN.format(9)} % (n + 1) AS c2,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR {_DRAWN.format(17)} % 100 >= 90 THEN 'plain'
+      WHEN {_DRAWN.format(25)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM t
+), p AS (
+  SELECT doc_id, text, n, form, least(c1, c2) AS a, greatest(c1, c2) - least(c1, c2) AS m FROM h
+), o AS (
+  SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, m) AS middle, substr(text, a + m + 1) AS suffix FROM p
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN m END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM o
+"""
+
+OP13 = """
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w
+  FROM documents
+), first AS (
+  SELECT text, min(doc_id) AS least FROM d GROUP BY text
+), l AS (
+  SELECT doc_id, max(coalesce(quality, 0) = 1) AS good, max(coalesce(toxic, 0) = 1) AS toxic FROM labels GROUP BY doc_id
+), fails AS (
+  SELECT part, coalesce(good, false)::INT AS good, coalesce(toxic, false)::INT AS toxic,
+    [len(w) < 200,
+     100 * len(list_distinct(w)) < 50 * len(w),
+     100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 2 * length(d.text),
+     regexp_matches(d.text, '[#$%&*|]'),
+     coalesce(d.doc_id > least, false)] AS f
+  FROM d JOIN first ON d.text = first.text LEFT JOIN l ON l.doc_id = d.doc_id
+), masks AS (
+  SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, f
+), letters AS (
+  SELECT unnest([1, 2, 3, 4, 5]) AS x
+), orders AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT o, unnest([1, 2, 3, 4, 5])::INT AS step FROM orders
+), met AS (
+  SELECT part, o, step, n, good, toxic, f[o[step]] AS failed,
+    list_bool_or(list_transform(o[1:step - 1], lambda i: f[i])) AS before,
+    list_bool_or(list_transform(list_filter([1, 2, 3, 4, 5], lambda i: i <> o[step]), lambda i: f[i])) AS other
+  FROM masks, steps
+), found AS (
+  SELECT part, o, step, o[step] AS x,
+    coalesce(sum(n) FILTER (WHERE NOT failed AND NOT coalesce(before, false)), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE failed AND NOT coalesce(before, false)), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE failed AND coalesce(before, false)), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE failed AND NOT other), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE failed AND NOT coalesce(before, false)), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE failed AND NOT coalesce(before, false)), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY part, o, step
+)
+SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, step,
+  kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM found
+"""
