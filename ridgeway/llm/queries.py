@@ -19,6 +19,7 @@ from ridgeway.llm import (
     shard,
     simhash,
     sql_twins,
+    toxicity,
     urls,
 )
 from ridgeway.llm.common import read
@@ -67,6 +68,10 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.private_spans(read(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.5)
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(read(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op8_url_filters": op8_url_filters,
         "op7_line_dedup": op7_line_dedup,
         "op4_personal_data": op4_personal_data,
+        "op11_toxicity": op11_toxicity,
         "op12_fill_in_middle": op12_fill_in_middle,
         "op13_filter_audit": op13_filter_audit,
     }
