@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ridgeway.operators.metrics import best_by_score
 from ridgeway.operators.moments import Design, Moments, moments
-from ridgeway.operators.ridge import fit_moments, r2_from_moments
+from ridgeway.operators.ridge import fit_path, r2_from_moments
 
 ALPHAS = (0.01, 0.1, 1.0)
 SCORE_SCHEMA = "alpha double, fold int, r2 double"
@@ -27,18 +27,22 @@ def score_folds(
 ) -> list[tuple[float, int, float | None]]:
     """(alpha, fold, R² on the fold of the model fitted on the other folds).
 
-    The training moments are the total less the fold's. ``basis`` fixes the
-    feature scale for all folds; a rule is applied to each training set anew.
+    The training moments are those of the other folds, merged. ``basis`` fixes the
+    feature scale for all folds; a rule is applied to each training set anew. Each
+    training set is decomposed once, whatever the number of penalties.
     """
-    total = reduce(add, per_fold.values())
     scores = []
-    for alpha in alphas:
-        for fold, held_out in sorted(per_fold.items()):
-            train = total - held_out
-            fold_basis = basis(train) if callable(basis) else basis
-            fit = fit_moments(train, alpha, fold_basis)
+    for fold, held_out in sorted(per_fold.items()):
+        others = [m for k, m in per_fold.items() if k != fold]
+        if not others:  # nothing to train on
+            scores += [(float(alpha), int(fold), None) for alpha in alphas]
+            continue
+        train = reduce(add, others)
+        fold_basis = basis(train) if callable(basis) else basis
+        for alpha, fit in zip(alphas, fit_path(train, alphas, fold_basis)):
             scores.append((float(alpha), int(fold), r2_from_moments(held_out, fit)))
-    return scores
+    order = {float(alpha): at for at, alpha in enumerate(alphas)}
+    return sorted(scores, key=lambda s: (order[s[0]], s[1]))
 
 
 def mean_scores(scores: Sequence[tuple[float, int, float | None]]) -> dict[float, float]:

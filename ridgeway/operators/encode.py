@@ -185,18 +185,20 @@ def standardize(
 ) -> DataFrame:
     """(x − mean) / sample deviation; a column that does not vary becomes 0.
 
-    Means and deviations come from one aggregation over ``fit_on``.
+    Means, deviations and bounds come from one aggregation over ``fit_on``. The
+    bounds tell a constant: its merged deviation need not be exactly 0.
     """
     source = df if fit_on is None else fit_on
     numbers = {c: F.col(c).cast("double") for c in columns}
     stats = source.agg(
         *(F.avg(x).alias(f"{c}_mean") for c, x in numbers.items()),
         *(F.stddev_samp(x).alias(f"{c}_dev") for c, x in numbers.items()),
+        *((F.min(x) < F.max(x)).alias(f"{c}_varies") for c, x in numbers.items()),
     ).first()
 
     def scaled(c: str) -> Column:
         mean, dev = stats[f"{c}_mean"], stats[f"{c}_dev"]
-        if not dev:
+        if not stats[f"{c}_varies"]:
             return F.lit(0.0)
         return (numbers[c] - F.lit(mean)) / F.lit(dev)
 

@@ -38,11 +38,14 @@ def r2(label: str | Column, prediction: str | Column) -> Column:
     """Share of variance explained; null where the label does not vary.
 
     The total sum of squares is n·var_pop, which Spark updates around a running
-    mean, so no second pass over the rows is needed to centre the label.
+    mean, so no second pass over the rows is needed to centre the label. Merged
+    running means of equal numbers can differ in the last digit: whether the
+    label varies is told by its bounds, not by that variance.
     """
     scored = F.when(_col(prediction).isNotNull(), _col(label))
     total = F.count(scored) * F.var_pop(scored)
-    return F.lit(1.0) - F.sum(squared_error(label, prediction)) / F.nullif(total, F.lit(0.0))
+    varies = F.min(scored) < F.max(scored)
+    return F.when(varies, F.lit(1.0) - F.sum(squared_error(label, prediction)) / total)
 
 
 def regression_metrics(

@@ -1,9 +1,12 @@
-"""Second-moment partial sums inside a task (numpy on Arrow batches).
-
-A task keeps one symmetric matrix per live group and emits each as rows of 64
-numbers, which Spark then sums with a native aggregate. One-hot columns never
-become dense: their products are counts, taken with ``bincount`` on the codes,
-so a row costs (columns)² steps and not (one-hot width)².
+"""Second moments inside a task (numpy on Arrow batches).
+
+A task keeps one symmetric matrix per live group. Sums about zero are emitted
+as rows of 64 numbers, which Spark adds up with a native aggregate. Co-moments
+(products about the task's own means) are emitted as square tiles with the
+means of their rows and columns, so that any two partials of a tile can be
+merged without the rest of the matrix. One-hot columns never become dense:
+their products are counts, taken with ``bincount`` on the codes, so a row costs
+(columns)² steps and not (one-hot width)².
 """
 
 from __future__ import annotations
@@ -19,6 +22,13 @@ CHUNK = 64
 ROWS_PER_BLOCK = 32768
 BLOCK_BYTES = 64 << 20
 CHUNKS_PER_BATCH = 4096
+# side of a tile of co-moments, and tiles that are handled at once
+TILE = 16
+TILES_PER_BATCH = 1024
+# groups of fewer rows in a block are reduced together
+ROWS_PER_GROUP = 64
+# matrices of live groups that a task may hold, in bytes
+LIVE_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -212,3 +222,225 @@ def partial_sums(layout: BlockLayout, schema: pa.Schema):
             yield from packed_batches(group, total, schema)
 
     return run
+
+
+class CoMoments:
+    """n, means and products about the means of the rows met so far.
+
+    One-hot slots stay counts, and sums of the dense columns over a slot's rows
+    are about the dense means, until :meth:`whole` centres them too.
+    """
+
+    def __init__(self, d: int, widths: list[int]):
+        self.d, self.widths = d, widths
+        size = d + sum(widths)
+        self.n, self.means, self.total = 0.0, np.zeros(self.d), np.zeros((size, size))
+
+    def add(self, dense: np.ndarray, codes: np.ndarray) -> None:
+        """Merge some rows: their products about their own means come first."""
+        # less the first row, so that a column that does not vary is exactly 0
+        away = dense - dense[0]
+        middle = away.mean(axis=0)
+        part = np.zeros_like(self.total)
+        add_rows(part, away - middle, codes, self.widths)
+        self.merge(float(len(dense)), dense[0], middle, part)
+
+    def add_parts(self, n: np.ndarray, means: np.ndarray, inner: np.ndarray) -> None:
+        """Merge rows that each stand for ``n`` rows with these means; ``inner`` are all their products."""
+        away = means - means[0]
+        middle = n @ away / n.sum()
+        away -= middle
+        self.merge(float(n.sum()), means[0], middle, inner + (n[:, None] * away).T @ away)
+
+    def merge(self, n: float, first: np.ndarray, middle: np.ndarray, part: np.ndarray) -> None:
+        """Merge products about the means ``first + middle`` of n rows."""
+        d, share = self.d, n / (self.n + n)
+        if self.n:
+            gap = (first - self.means) + middle
+            # sums over a slot's rows move with the means
+            here, before = np.diag(part)[d:].copy(), np.diag(self.total)[d:].copy()
+            part[d:, :d] += np.outer(here, gap * (1 - share)) - np.outer(before, gap * share)
+            part[:d, :d] += np.outer(gap, gap) * (self.n * share)
+            self.means = self.means + gap * share
+        else:
+            self.means = first + middle
+        self.total += part
+        self.n += n
+
+    def whole(self) -> tuple[np.ndarray, np.ndarray]:
+        """Means and products about them, slots included; the matrix is symmetric."""
+        d = self.d
+        counts = np.diag(self.total)[d:].copy()
+        full = np.tril(self.total)
+        full[d:, d:] -= np.tril(np.outer(counts, counts / self.n))
+        full += np.tril(full, -1).T
+        return np.concatenate([self.means, counts / self.n]), full
+
+
+def tile_side(size: int) -> int:
+    return max(1, min(TILE, size))
+
+
+def tile_batches(group: tuple, found: CoMoments, schema: pa.Schema):
+    """Rows (group…, bi, bj, n, mi, mj, v) of the tiles bi ≥ bj of one matrix."""
+    means, full = found.whole()
+    side = tile_side(len(means))
+    blocks = -(-len(means) // side)
+    padded = np.zeros((blocks * side, blocks * side))
+    padded[: len(full), : len(full)] = full
+    ends = np.zeros(blocks * side)
+    ends[: len(means)] = means
+    tiles = padded.reshape(blocks, side, blocks, side).swapaxes(1, 2)
+    ends = ends.reshape(blocks, side)
+    bi, bj = np.tril_indices(blocks)
+    for at in range(0, len(bi), TILES_PER_BATCH):
+        i, j = bi[at : at + TILES_PER_BATCH], bj[at : at + TILES_PER_BATCH]
+        keys = [pa.array([g] * len(i), schema.field(k).type) for k, g in enumerate(group)]
+        yield _tile_rows(keys, i, j, np.full(len(i), found.n), ends[i], ends[j], tiles[i, j].reshape(len(i), -1), schema)
+
+
+def _tile_rows(keys: list[pa.Array], bi, bj, n, mi, mj, v, schema: pa.Schema) -> pa.RecordBatch:
+    def lists(x: np.ndarray) -> pa.ListArray:
+        bounds = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.ascontiguousarray(x).ravel()))
+
+    places = [pa.array(b.astype(np.int32)) for b in (bi, bj)]
+    return pa.RecordBatch.from_arrays([*keys, *places, pa.array(n), lists(mi), lists(mj), lists(v)], schema=schema)
+
+
+def partial_comoments(layout: BlockLayout, schema: pa.Schema):
+    """The function for ``mapInArrow``: batches in, tiles of the task's co-moments out."""
+
+    def run(batches):
+        live: dict[tuple, CoMoments] = {}
+        for batch in blocks(batches, layout.rows_per_block):
+            batch = complete(batch, layout)
+            if not batch.num_rows:
+                continue
+            dense, codes = dense_block(batch, layout)[:, 1:], code_block(batch, layout)
+            spans = group_spans(batch, layout.groups)
+            if codes.shape[1] == 0 and dense.shape[1] <= TILE and len(spans) * ROWS_PER_GROUP > len(dense):
+                yield from small_groups(batch, layout.groups, dense, spans, schema)
+                continue
+            for group, rows in spans:
+                if group not in live and len(live) >= layout.max_live:
+                    # partials can be merged: what was emitted early is merged later
+                    for done, found in live.items():
+                        yield from tile_batches(done, found, schema)
+                    live.clear()
+                if group not in live:
+                    live[group] = CoMoments(layout.dense_width - 1, layout.slot_widths)
+                live[group].add(dense[rows], codes[rows])
+        for group, found in live.items():
+            yield from tile_batches(group, found, schema)
+
+    return run
+
+
+def small_groups(batch: pa.RecordBatch, names: tuple[str, ...], dense: np.ndarray, spans: list, schema: pa.Schema):
+    """One tile for each group of a block, all at once: a row is a tile with n = 1 and no products."""
+    order = np.concatenate([rows if isinstance(rows, np.ndarray) else np.arange(len(dense)) for _, rows in spans])
+    sizes = [len(rows) if isinstance(rows, np.ndarray) else len(dense) for _, rows in spans]
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(ends):  # so many groups as have TILES_PER_BATCH rows, or one
+        low = int(ends[at - 1]) if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, low + TILES_PER_BATCH, "right")))
+        rows = order[low : int(ends[upto - 1])]
+        starts = np.concatenate([[0], ends[at : upto - 1] - low]).astype(np.int64)
+        x = dense[rows]
+        n, mi, mj, v = merged_tiles(np.ones(len(rows)), x, x, np.zeros((len(rows), x.shape[1] ** 2)), starts)
+        first = batch.select(list(names)).take(pa.array(rows[starts]))
+        zeros = np.zeros(len(starts), np.int32)
+        yield _tile_rows([first.column(k).cast(schema.field(k).type) for k in range(len(names))], zeros, zeros, n, mi, mj, v, schema)
+        at = upto
+
+
+def join_partials(groups: tuple[str, ...], size: int, schema: pa.Schema):
+    """The function for ``mapInArrow`` over rows (group…, n, mi, v, z) of a join.
+
+    A row stands for n rows with means mi and products v in the first columns and the
+    same z in the others: a partial as good as any.
+    """
+
+    def run(batches):
+        live: dict[tuple, CoMoments] = {}
+        for batch in blocks(batches, TILES_PER_BATCH):
+            n = numbers_of(batch.column("n"))
+            means, inner, fixed = (
+                batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(len(n), -1) if len(n) else None
+                for c in ("mi", "v", "z")
+            )
+            for group, rows in group_spans(batch, groups):
+                whole = np.concatenate([means[rows], fixed[rows]], axis=1)
+                d = means.shape[1]
+                total = np.zeros((size, size))
+                total[:d, :d] = inner[rows].sum(axis=0).reshape(d, d)
+                if group not in live and len(live) * size * size * 8 >= LIVE_BYTES:
+                    for done, found in live.items():
+                        yield from tile_batches(done, found, schema)
+                    live.clear()
+                live.setdefault(group, CoMoments(size, [])).add_parts(n[rows], whole, total)
+        for group, found in live.items():
+            yield from tile_batches(group, found, schema)
+
+    return run
+
+
+def merged_tiles(n: np.ndarray, mi: np.ndarray, mj: np.ndarray, v: np.ndarray, starts: np.ndarray):
+    """(n, mi, mj, v) of each run of tiles, runs beginning at ``starts``.
+
+    Σ over partials of their products, plus n·(their mean − the mean)(…)ᵀ.
+    """
+    run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(n))))
+    total = np.add.reduceat(n, starts)
+
+    def gaps(means: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        away = means - means[starts][run]
+        middle = np.add.reduceat(n[:, None] * away, starts) / total[:, None]
+        return means[starts] + middle, away - middle[run]
+
+    (mean_i, away_i), (mean_j, away_j) = gaps(mi), gaps(mj)
+    between = (n[:, None] * away_i)[:, :, None] * away_j[:, None, :]
+    return total, mean_i, mean_j, np.add.reduceat(v + between.reshape(v.shape), starts)
+
+
+def merge_tiles(keys: int, schema: pa.Schema):
+    """The function for ``mapInArrow`` that merges tiles sorted by their first ``keys`` columns.
+
+    One row per key is held, whatever the number of partials.
+    """
+
+    def arrays(table: pa.RecordBatch):
+        n = table.column("n").to_numpy(zero_copy_only=False)
+        lists = [table.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("mi", "mj", "v")]
+        return n, *(x.reshape(len(n), -1) for x in lists)
+
+    def run(batches):
+        held: pa.RecordBatch | None = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, TILES_PER_BATCH):
+                part = batch.slice(at, TILES_PER_BATCH)
+                if held is not None:
+                    part = pa.Table.from_batches([held, part.cast(schema)]).combine_chunks().to_batches()[0]
+                starts = [0]
+                if part.num_rows > 1:
+                    changed = np.zeros(part.num_rows - 1, bool)
+                    for k in range(keys):
+                        codes = part.column(k).dictionary_encode(null_encoding="encode").indices
+                        codes = codes.to_numpy(zero_copy_only=False)
+                        changed |= codes[1:] != codes[:-1]
+                    starts = np.concatenate([[0], np.flatnonzero(changed) + 1])
+                starts = np.asarray(starts, np.int64)
+                done = merged_tiles(*arrays(part), starts)
+                rows = part.take(pa.array(starts))
+                places = (rows.column(k).to_numpy() for k in (keys - 2, keys - 1))
+                found = _tile_rows([rows.column(k) for k in range(keys - 2)], *places, *done, schema)
+                # the last key may go on
+                held = found.slice(len(starts) - 1)
+                if len(starts) > 1:
+                    yield found.slice(0, len(starts) - 1)
+        if held is not None:
+            yield held
+
+    return run

@@ -70,16 +70,20 @@ def fit_moments(m: Moments, alpha: float, basis: np.ndarray | None = None) -> Li
     product with principal axes is ridge on principal components. The slopes
     returned are those of ``x``.
     """
+    return fit_path(m, [alpha], basis)[0]
+
+
+def fit_path(m: Moments, alphas: Sequence[float], basis: np.ndarray | None = None) -> list[LinearFit]:
+    """:func:`fit_moments` for each penalty, from one decomposition of the matrix."""
     spread = m.centred[: m.p, : m.p]
     cross = m.centred[: m.p, -1]
     if basis is None:
-        slopes = solvers.ridge_slopes(spread, cross, alpha)
+        found = solvers.ridge_path(spread, cross, alphas)
     elif basis.ndim == 1:
-        scaled = spread * np.outer(basis, basis)
-        slopes = basis * solvers.ridge_slopes(scaled, basis * cross, alpha)
+        found = [basis * s for s in solvers.ridge_path(spread * np.outer(basis, basis), basis * cross, alphas)]
     else:
-        slopes = basis @ solvers.ridge_slopes(basis.T @ spread @ basis, basis.T @ cross, alpha)
-    return LinearFit(m.terms, float(m.means[-1] - m.means[: m.p] @ slopes), slopes)
+        found = [basis @ s for s in solvers.ridge_path(basis.T @ spread @ basis, basis.T @ cross, alphas)]
+    return [LinearFit(m.terms, float(m.means[-1] - m.means[: m.p] @ slopes), slopes) for slopes in found]
 
 
 def r2_from_moments(m: Moments, fit: LinearFit) -> float | None:
@@ -110,31 +114,34 @@ def only_moments(table: MomentTable) -> Moments:
 
 
 def fit_ridge_grouped(
-    df: DataFrame, features: Sequence[str], label: str, alpha: float, by: Sequence[str]
+    df: DataFrame, features: Sequence[str], label: str, alpha: float, by: Sequence[str], plan: str = "auto"
 ) -> DataFrame:
     """One ridge model per group: (group…, term, coefficient).
 
-    For any number of groups: the moments are summed per group, and the solves
-    run where the sums are, a batch of groups at a time.
+    For any number of groups, at any distance from each other: the co-moments are
+    merged per group, and the solves run where they are, a batch of groups at a time.
     """
     solvers.check_alpha(alpha)
-    table = moments(df, Design(numericals=tuple(features)), label, by=by)
-    chunks = F.transform(F.array_sort(F.collect_list(F.struct("chunk", "v"))), lambda c: c["v"])
-    stats = table.packed.groupBy(*by).agg(F.flatten(chunks).alias("_packed"))
+    table = moments(df, Design(numericals=tuple(features)), label, by=by, plan=plan)
+    # a matrix of p² numbers per group, in a few tiles
+    stats = table.packed.groupBy(*by).agg(F.collect_list(F.struct("bi", "bj", "mi", "v")).alias("_tiles"))
     terms = ["(intercept)", *features]
     types = {f.name: f for f in df.schema.fields}
     schema = StructType(
         [types[b] for b in by]
         + [StructField("term", StringType()), StructField("coefficient", DoubleType())]
     )
-    keys, size, pivot = list(by), len(features) + 2, table.pivot
+    keys, size = list(by), len(features) + 1
 
     def solve(frames):
         for frame in frames:
             if not len(frame):
                 continue
-            packed = np.stack(frame["_packed"].to_numpy())[:, : size * (size + 1) // 2]
-            theta = solvers.grouped_ridge(packed, size, alpha, pivot)
+            found = [
+                solvers.tiled(*([t[c] for t in tiles] for c in ("bi", "bj", "mi", "v")), size)
+                for tiles in frame["_tiles"]
+            ]
+            theta = solvers.grouped_ridge(*(np.stack(x) for x in zip(*found)), alpha)
             repeated = frame[keys].loc[frame.index.repeat(len(terms))].reset_index(drop=True)
             yield repeated.assign(
                 term=pd.Series(terms * len(frame), dtype=object), coefficient=theta.ravel()

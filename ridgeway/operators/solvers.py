@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 
 
@@ -21,32 +23,47 @@ def ridge_slopes(spread: np.ndarray, cross: np.ndarray, alpha: float) -> np.ndar
     return axes[:, seen] @ ((axes[:, seen].T @ cross) / variances[seen])
 
 
+def ridge_path(spread: np.ndarray, cross: np.ndarray, alphas: Sequence[float]) -> list[np.ndarray]:
+    """:func:`ridge_slopes` for each penalty.
+
+    One penalty is one solve. For more, spread = A·diag(v)·Aᵀ once, and each penalty
+    is A·(Aᵀcross / (v + α)). Not where some number is no number.
+    """
+    if len(alphas) == 1 or not np.isfinite(spread).all():
+        return [ridge_slopes(spread, cross, alpha) for alpha in alphas]
+    for alpha in alphas:
+        check_alpha(alpha)
+    variances, axes = np.linalg.eigh(spread)
+    turned = axes.T @ cross
+    found = []
+    for alpha in alphas:
+        if alpha > 0:
+            found.append(axes @ (turned / (np.maximum(variances, 0.0) + alpha)))
+        else:
+            seen = variances > 1e-12 * max(variances.max(initial=0.0), 0.0)
+            found.append(axes[:, seen] @ (turned[seen] / variances[seen]))
+    return found
+
+
 def centre(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Means and Σ(z−z̄)(z−z̄)ᵀ from Σzzᵀ over [1, z]; also for a stack of matrices."""
-    n = matrix[..., 0, 0]
-    means = matrix[..., 0, 1:] / n[..., None]
-    centred = matrix[..., 1:, 1:] - n[..., None, None] * means[..., :, None] * means[..., None, :]
-    # a column whose spread is below rounding does not vary
-    squares = np.diagonal(matrix, axis1=-2, axis2=-1)[..., 1:]
-    varies = np.diagonal(centred, axis1=-2, axis2=-1) > 1e-13 * squares
-    return means, np.where(varies[..., :, None] & varies[..., None, :], centred, 0.0)
+    """Means and Σ(z−z̄)(z−z̄)ᵀ from Σzzᵀ over [1, z].
+
+    Sums about zero cannot tell a spread below their own rounding from none, so
+    such a column counts as constant; co-moments have no such bound.
+    """
+    n = matrix[0, 0]
+    means = matrix[0, 1:] / n
+    centred = matrix[1:, 1:] - n * np.outer(means, means)
+    varies = np.diag(centred) > 1e-13 * np.diag(matrix)[1:]
+    return means, np.where(np.outer(varies, varies), centred, 0.0)
 
 
-def grouped_ridge(
-    packed: np.ndarray, size: int, alpha: float, pivot: np.ndarray | None = None
-) -> np.ndarray:
-    """θ (intercept first) of each row of packed lower triangles over [1, x, y] about a pivot.
+def grouped_ridge(means: np.ndarray, centred: np.ndarray, alpha: float) -> np.ndarray:
+    """θ (intercept first) of each group from its means and co-moments over [x, y].
 
     A single-row group has no spread: its slopes are 0 and its intercept y.
     """
-    full = np.zeros((len(packed), size, size))
-    rows, columns = np.tril_indices(size)
-    full[:, rows, columns] = packed
-    full[:, columns, rows] = packed
-    means, centred = centre(full)
-    if pivot is not None:
-        means = means + pivot[1:]
-    p = size - 2
+    p = means.shape[1] - 1
     spread, cross = centred[:, :p, :p], centred[:, :p, p]
     if alpha > 0:
         slopes = np.linalg.solve(spread + alpha * np.eye(p), cross[:, :, None])[:, :, 0]
@@ -56,6 +73,21 @@ def grouped_ridge(
     return np.column_stack([intercepts, slopes])
 
 
+def tiled(bi, bj, mi, v, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Means and the full matrix from the tiles bi ≥ bj of one group."""
+    side = len(mi[0])
+    blocks = -(-size // side)
+    means = np.zeros((blocks, side))
+    tiles = np.zeros((blocks, blocks, side, side))
+    for i, j, m, rows in zip(bi, bj, mi, v):
+        tile = np.asarray(rows).reshape(side, side)
+        tiles[i, j], tiles[j, i] = tile, tile.T
+        if i == j:
+            means[i] = m
+    full = tiles.swapaxes(1, 2).reshape(blocks * side, blocks * side)
+    return means.ravel()[:size], full[:size, :size]
+
+
 def principal_axes(covariance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k leading axes (as columns) and variances of a covariance matrix.
 

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ridgeway.operators import crossval, metrics, mllib
 from ridgeway.operators.encode import assemble
+from ridgeway.operators.joins import union_by_name
 from ridgeway.operators.moments import Design, moments
+from ridgeway.operators.orthogonal import fit_ridge_orthogonal
 from ridgeway.operators.ridge import (
     RidgeRegression,
     alpha_to_regparam,
@@ -84,6 +86,45 @@ def ridge_fit_offset(spark, sf_dir):
     return frame.select("plan", significant("slope", 6).alias("slope"), significant("mean", 9).alias("mean"))
 
 
+_FAR = {"A": "0", "N": "1e9", "R": "-3e6"}
+_FAR_X = " ".join(f"WHEN l_returnflag = '{flag}' THEN {at} + l_quantity" for flag, at in _FAR.items())
+
+
+@query(f"""WITH {sql.LINES}, far AS (
+  SELECT l_returnflag, CASE {_FAR_X} END AS x, 3 * l_quantity + l_tax AS y FROM lines)
+SELECT plan, l_returnflag, {sql.significant('slope', 6)} AS slope
+FROM (SELECT l_returnflag, regr_slope(y, x) AS slope FROM far GROUP BY l_returnflag), (VALUES ('arrow'), ('native')) p(plan)""")
+def ridge_fit_grouped_far(spark, sf_dir):
+    """Groups that lie far apart each keep their slope, by both plans."""
+    x = F.expr(f"CASE {_FAR_X.replace('1e9', '1e9D')} END")
+    far = lines(spark, sf_dir).select("l_returnflag", x.alias("x"), (F.col("l_quantity") * 3 + F.col("l_tax")).alias("y"))
+    fits = [
+        fit_ridge_grouped(far, ["x"], "y", 0.0, by=["l_returnflag"], plan=p).withColumn("plan", F.lit(p))
+        for p in ("arrow", "native")
+    ]
+    slopes = union_by_name(*fits).filter("term = 'x'")
+    return slopes.select("plan", "l_returnflag", significant("coefficient", 6).alias("slope"))
+
+
+_NEAR = """SELECT l_extendedprice AS x1, l_extendedprice * l_tax AS x2, y * (1 + l_tax) AS y FROM lines"""
+
+
+@query(f"""WITH {sql.LINES}, near AS ({_NEAR}), fit AS ({sql.two_feature_fit('near', '0.0', x1='x1', x2='x2')})
+SELECT {sql.significant('b0', 3)} AS intercept, {sql.significant('b1 - b2 * 1e7', 6)} AS slope_price,
+       {sql.significant('b2 * 1e7', 6)} AS slope_near FROM fit""")
+def ridge_fit_collinear(spark, sf_dir):
+    """The price, and a feature that differs from it in the eighth digit; the twin takes their difference apart."""
+    near = lines(spark, sf_dir).select(
+        F.col("l_extendedprice").alias("price"),
+        (F.col("l_extendedprice") * (1 + F.col("l_tax") * 1e-7)).alias("near"),
+        (F.col("y") * (1 + F.col("l_tax"))).alias("y"),
+    )
+    fit = fit_ridge_orthogonal(near, Design(numericals=("price", "near")), "y")
+    rows = [(float(fit.intercept), *map(float, fit.slopes))]
+    frame = spark.createDataFrame(rows, "intercept double, slope_price double, slope_near double")
+    return frame.select(*(significant(c, 3 if c == "intercept" else 6).alias(c) for c in frame.columns))
+
+
 def _system_sql(source: str, features: list[str], alpha: float) -> str:
     """Normal equations on centred columns, as one list of rows."""
     p = len(features)

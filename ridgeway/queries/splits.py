@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ridgeway.operators import split
+from ridgeway.operators.joins import union_by_name
 from ridgeway.queries import sql
 from ridgeway.queries.registry import query
 from ridgeway.queries.tables import LINE_KEYS, lines, significant
@@ -36,13 +37,18 @@ def assign_folds(spark, sf_dir):
     return split.with_fold(train, LINE_KEYS, 5)
 
 
-@query(f"WITH {sql.LINES} SELECT {sql.KEYS}, fold, y FROM lines WHERE fold <> 2")
+@query(f"""WITH {sql.LINES}, held AS (SELECT unnest(range(5)) AS k)
+SELECT CAST(k AS INTEGER) AS left_out, fold <> k AS training, {sql.KEYS}, fold, y FROM lines, held""")
 def fold_training_union(spark, sf_dir):
-    """Training rows of one held-out fold, on a capped number of partitions."""
+    """Training and validation rows of all five held-out folds, on a capped number of partitions."""
     rows = split.with_fold(lines(spark, sf_dir), LINE_KEYS, 5).select(*LINE_KEYS, "fold", "y")
     partitions = max(200, 4 * spark.sparkContext.defaultParallelism)
-    train, _ = split.fold_complements(rows, 5, max_partitions=partitions)[2]
-    return train
+    halves = [
+        half.select(F.lit(i).alias("left_out"), F.lit(training).alias("training"), "*")
+        for i, pair in enumerate(split.fold_complements(rows, 5, max_partitions=partitions))
+        for training, half in zip((True, False), pair)
+    ]
+    return union_by_name(*halves)
 
 
 @query(f"""WITH {sql.LINES}, held AS (SELECT unnest(range(5)) AS k)

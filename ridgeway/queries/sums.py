@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ridgeway.operators import moments as ops
 from ridgeway.operators.encode import assemble, fit_labels
 from ridgeway.operators.pca import fit_pca
-from ridgeway.operators.ridge import only_moments, with_intercept
+from ridgeway.operators.ridge import with_intercept
 from ridgeway.operators.split import with_fold
 from ridgeway.queries import sql
 from ridgeway.queries.registry import query
@@ -38,7 +38,7 @@ def _gram_sql(names: list[str], source: str, group: str | None = None) -> str:
 def gram_matrix(spark, sf_dir):
     """XᵀX of the numeric columns, intercept in row 0, in index order."""
     design = ops.Design(numericals=SPEC.numericals)
-    entries = ops.moments(model_rows(spark, sf_dir), design, pivot=False).entries()
+    entries = ops.moments(model_rows(spark, sf_dir), design, centred=False).entries()
     return entries.select("i", "j", significant("value").alias("value")).orderBy("i", "j")
 
 
@@ -47,7 +47,7 @@ def gram_by_fold(spark, sf_dir):
     """All sums that ridge needs, per fold, in one aggregation."""
     rows = with_fold(lines(spark, sf_dir), LINE_KEYS, 5)
     design = ops.Design(numericals=("l_extendedprice", "l_discount"))
-    entries = ops.moments(rows, design, "y", by=["fold"], pivot=False).entries()
+    entries = ops.moments(rows, design, "y", by=["fold"], centred=False).entries()
     return entries.select("fold", "i", "j", significant("value").alias("value"))
 
 
@@ -64,7 +64,7 @@ def gram_embeddings(spark, sf_dir):
     """XᵀX of a 64-wide vector column per label, by numpy partial sums."""
     design = ops.Design(arrays=(("embedding", EMBEDDING_WIDTH),))
     rows = table(spark, sf_dir, "embeddings").filter("embedding IS NOT NULL")
-    entries = ops.moments(rows, design, by=["label"], pivot=False).entries()
+    entries = ops.moments(rows, design, by=["label"], centred=False).entries()
     return entries.select("label", "i", "j", F.round("value", 9).alias("value"))
 
 
@@ -89,16 +89,10 @@ def gram_one_hot(spark, sf_dir):
     design = ops.Design(
         numericals=("l_quantity",), categoricals=columns, labels=fit_labels(rows, columns)
     )
-    found = only_moments(ops.moments(rows, design, "y", pivot=False))
-    names = ["(intercept)", *found.terms, "y"]
-    entries = [
-        (min(a, b), max(a, b), float(found.matrix[i, j]))
-        for i, a in enumerate(names)
-        for j, b in enumerate(names[: i + 1])
-        if found.matrix[i, j] != 0
-    ]
-    frame = spark.createDataFrame(entries, "term_a string, term_b string, value double")
-    return frame.withColumn("value", significant("value"))
+    table = ops.moments(rows, design, "y", centred=False)
+    entries = table.named(table.entries().filter("value <> 0"))
+    ordered = [f("term_i", "term_j") for f in (F.least, F.greatest)]
+    return entries.select(ordered[0].alias("term_a"), ordered[1].alias("term_b"), significant("value").alias("value"))
 
 
 _XTY_TERMS = ["1.0", *sql.NUMERICALS, "y"]
@@ -110,7 +104,7 @@ _XTY_TERMS = ["1.0", *sql.NUMERICALS, "y"]
 def xty_vector(spark, sf_dir):
     """Σy, Xᵀy and yᵀy: the last column of the moments."""
     design = ops.Design(numericals=SPEC.numericals)
-    entries = ops.moments(model_rows(spark, sf_dir), design, "y", pivot=False).entries()
+    entries = ops.moments(model_rows(spark, sf_dir), design, "y", centred=False).entries()
     last = entries.filter(F.col("j") == len(SPEC.numericals) + 1)
     return last.select(F.col("i").alias("position"), significant("value").alias("value"))
 
@@ -134,14 +128,32 @@ _COVARIANCE = " UNION ALL ".join(
 @query(f"WITH {sql.MODEL} SELECT a, b, {sql.significant('value', 7)} AS value FROM ({_COVARIANCE})")
 def covariance_matrix(spark, sf_dir):
     design = ops.Design(numericals=SPEC.numericals)
-    found = only_moments(ops.moments(model_rows(spark, sf_dir), design))
-    entries = [
-        (found.terms[i], found.terms[j], float(found.covariance[i, j]))
-        for j in range(found.p)
-        for i in range(j + 1)
-    ]
-    frame = spark.createDataFrame(entries, "a string, b string, value double")
-    return frame.withColumn("value", significant("value", 7))
+    table = ops.moments(model_rows(spark, sf_dir), design)
+    entries = table.named(table.entries())
+    value = significant(F.col("value") / (F.col("n") - 1), 7)
+    return entries.select(F.col("term_i").alias("a"), F.col("term_j").alias("b"), value.alias("value"))
+
+
+_OVER_JOIN = ["l_quantity", "o_totalprice", "l_extendedprice", "y"]
+_OVER_JOIN_SQL = " UNION ALL ".join(
+    f"SELECT o_orderstatus, '{a}' AS a, '{b}' AS b, count(*) AS n, covar_samp({a}, {b}) AS value FROM met GROUP BY o_orderstatus"
+    for j, b in enumerate(_OVER_JOIN)
+    for a in _OVER_JOIN[: j + 1]
+)
+
+
+@query(f"""WITH {sql.LINES}, met AS (SELECT * FROM lines JOIN orders ON l_orderkey = o_orderkey)
+SELECT o_orderstatus, a, b, n, {sql.significant('value', 7)} AS value FROM ({_OVER_JOIN_SQL})""")
+def gram_over_join(spark, sf_dir):
+    """Covariances of lines and their orders; one row per order meets the order, not its lines."""
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    found = ops.moments_over_join(
+        lines(spark, sf_dir), orders, ["l_orderkey"], _OVER_JOIN[:-1], "y", by=["o_orderstatus"]
+    )
+    entries = found.named(found.entries())
+    value = significant(F.col("value") / (F.col("n") - 1), 7)
+    names = [F.col("term_i").alias("a"), F.col("term_j").alias("b")]
+    return entries.select("o_orderstatus", *names, F.col("n").cast("long").alias("n"), value.alias("value"))
 
 
 @query("""

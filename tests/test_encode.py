@@ -104,3 +104,10 @@ def test_columns_are_looked_up_together_or_alone(letters, monkeypatch, few):
 def test_a_column_without_labels_is_unknown_throughout(letters):
     found = encode.index_with(letters, {"s": (), "n": ("0", "1", "2")})
     assert {r.s_index for r in found.collect()} == {0.0}
+
+
+@pytest.mark.parametrize("rows, tasks", [(322, 2), (98, 2), (7, 7)])
+def test_a_constant_is_standardised_to_zero_in_any_cut(spark, rows, tasks):
+    df = spark.range(0, rows, 1, tasks).select(F.lit(5.1).alias("a"), F.lit(None).cast("double").alias("b"), F.col("id").alias("c"))
+    found = encode.standardize(df, ["a", "b", "c"]).agg(F.min("a_std"), F.max("a_std"), F.max("b_std"), F.max("c_std")).first()
+    assert found[:3] == (0.0, 0.0, 0.0) and found[3] > 1

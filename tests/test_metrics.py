@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
 
 from ridgeway.operators import metrics
 
@@ -60,3 +61,11 @@ def test_rows_without_label_or_prediction_do_not_count(spark):
 def test_nan_is_no_score(spark):
     df = spark.createDataFrame([(1.0, float("nan")), (0.1, 0.7), (0.01, None)], "alpha double, s double")
     assert metrics.best_by_score(df, "alpha", "s").first().alpha == 0.1
+
+
+@pytest.mark.parametrize("rows", [48, 49, 98, 103, 107, 161])
+def test_a_constant_label_has_no_r2_in_any_cut(spark, rows):
+    df = spark.range(0, 2 * rows, 1, 2).select(F.lit(1.0).alias("y"), (F.lit(1.0) + F.col("id") % 2 / 10).alias("p"), F.lit(7).alias("g"))
+    assert df.agg(metrics.r2("y", "p")).first()[0] is None
+    assert df.groupBy("g").agg(metrics.r2("y", "p").alias("r")).first().r is None
+    assert metrics.regression_metrics(df, "y", "p").first().r2 is None

@@ -61,7 +61,7 @@ def test_partitions_do_not_matter(data, partitions):
 @pytest.mark.parametrize("plan", ["native", "arrow"])
 def test_entries_are_the_upper_triangle(data, plan):
     df, x, y, _ = data
-    entries = moments(df, Design(numericals=COLUMNS), "y", plan=plan, pivot=False).entries().collect()
+    entries = moments(df, Design(numericals=COLUMNS), "y", plan=plan, centred=False).entries().collect()
     want = expected(x, y)
     assert len(entries) == 15
     for r in entries:
@@ -73,7 +73,7 @@ def test_wide_native_sums_span_chunks(data):
     wide = df.select("y", *(F.col("a") * i + F.col("b") for i in range(1, 13)))
     wide = wide.toDF("y", *(f"x{i}" for i in range(12)))
     design = Design(numericals=tuple(wide.columns[1:]))
-    native = moments(wide, design, "y", plan="native")
+    native = moments(wide, design, "y", plan="native", centred=False)
     arrow = moments(wide, design, "y", plan="arrow")
     assert native.packed.count() == 2
     assert np.allclose(native.collect()[()].matrix, arrow.collect()[()].matrix, rtol=1e-12)
@@ -139,7 +139,7 @@ def dense_rows(rows, design):
 
 @pytest.mark.parametrize("live_bytes, block_rows", [(1 << 20, 32768), (1, 32768), (1 << 20, 7)])
 def test_one_hot_sums_match_dense_ones(spark, monkeypatch, live_bytes, block_rows):
-    monkeypatch.setattr(ops, "LIVE_BYTES", live_bytes)
+    monkeypatch.setattr(ops.partials, "LIVE_BYTES", live_bytes)
     monkeypatch.setattr(ops.partials, "ROWS_PER_BLOCK", block_rows)
     df = coded_frame(spark).repartition(3)
     known = df.filter("s <> 's3' OR s IS NULL")  # s3 is unseen
@@ -152,7 +152,7 @@ def test_one_hot_sums_match_dense_ones(spark, monkeypatch, live_bytes, block_row
 
 
 def test_many_live_groups_are_emitted_early(spark, monkeypatch):
-    monkeypatch.setattr(ops, "LIVE_BYTES", 8 * 9 * 9)
+    monkeypatch.setattr(ops.partials, "LIVE_BYTES", 8 * 9 * 9)
     df = spark.range(1000).select((F.col("id") % 37).alias("g"), F.col("id").cast("double").alias("a"))
     found = moments(df, Design(numericals=("a",)), by=["g"], plan="arrow").collect()
     assert len(found) == 37
@@ -232,7 +232,7 @@ def test_rows_with_nulls_are_skipped_by_both_plans(spark, by):
     rows += [(None, 1.0, 5.0, 0), (1.0, None, 5.0, 1), (1.0, 1.0, None, 0)]
     df = spark.createDataFrame(rows, "a double, b double, y double, g int").repartition(3)
     design, whole = Design(numericals=("a", "b")), df.dropna()
-    want = moments(whole, design, "y", by=by, plan="native", pivot=False).collect()
+    want = moments(whole, design, "y", by=by, plan="native", centred=False).collect()
     for plan in ("native", "arrow"):
         found = moments(df, design, "y", by=by, plan=plan).collect()
         assert found.keys() == want.keys()
@@ -264,20 +264,145 @@ def test_columns_far_from_zero_keep_their_spread(spark, plan):
     assert m.means[0] == pytest.approx(1e9, rel=1e-9)
 
 
-def test_moments_about_other_pivots_do_not_mix(data):
+def test_sums_and_comoments_are_the_same_moments(data):
     df, *_ = data
     a = moments(df, Design(numericals=COLUMNS), "y").collect()[()]
-    b = moments(df, Design(numericals=COLUMNS), "y", pivot=False).collect()[()]
-    assert np.allclose(a.matrix, b.matrix, rtol=1e-12)
-    with pytest.raises(ValueError, match="pivot"):
-        a + b
-    with pytest.raises(ValueError, match="about zero"):
-        moments(df, Design(numericals=COLUMNS), "y").entries()
+    b = moments(df, Design(numericals=COLUMNS), "y", centred=False).collect()[()]
+    assert np.allclose(a.matrix, b.matrix, rtol=1e-12) and np.allclose(a.centred, b.centred, rtol=1e-9)
+    assert np.allclose((a + b).matrix, 2 * b.matrix, rtol=1e-12)
+
+
+def comoments(z):
+    means = z.mean(axis=0)
+    return means, (z - means).T @ (z - means)
+
+
+@pytest.mark.parametrize("plan", ["native", "arrow"])
+@pytest.mark.parametrize("by", [[], ["fold"]])
+def test_entries_of_comoments(data, plan, by):
+    df, x, y, fold = data
+    table = moments(df, Design(numericals=COLUMNS), "y", by=by, plan=plan)
+    rows = table.named(table.entries()).collect()
+    assert len(rows) == 10 * (4 if by else 1)
+    names = [*COLUMNS, "y"]
+    for r in rows:
+        here = fold == r.fold if by else slice(None)
+        _, want = comoments(np.column_stack([x, y])[here])
+        assert r.value == pytest.approx(want[names.index(r.term_i), names.index(r.term_j)], rel=1e-11)
+        assert r.n == len(x[here])
+
+
+@pytest.mark.parametrize("plan", ["native", "arrow"])
+@pytest.mark.parametrize("tasks, rows", [(1, 7), (2, 98), (7, 343), (2, 322)])
+def test_a_constant_has_no_spread_in_any_cut(spark, plan, tasks, rows):
+    df = spark.range(0, rows, 1, tasks).select(
+        F.lit(5.1).alias("a"), F.col("id").cast("double").alias("b"), F.lit(0.1).alias("y"), (F.col("id") % 3).alias("g")
+    )
+    for by in ([], ["g"]):
+        for m in moments(df, Design(numericals=("a", "b")), "y", by=by, plan=plan).collect().values():
+            assert m.centred[0].tolist() == [0.0, 0.0, 0.0] and m.centred[2].tolist() == [0.0, 0.0, 0.0]
+            assert m.means[0] == 5.1 and m.means[2] == 0.1 and m.centred[1, 1] > 0
+
+
+@pytest.mark.parametrize("plan", ["native", "arrow"])
+def test_groups_far_apart_keep_their_spread(spark, plan):
+    rng = np.random.default_rng(4)
+    near, far = rng.normal(0, 1, 400), 1e9 + rng.integers(0, 1000, 400) / 128
+    rows = [("a", float(v), float(3 * v)) for v in near] + [("b", float(v), float(3 * (v - 1e9))) for v in far]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(5)
+    found = moments(df, Design(numericals=("x",)), "y", by=["g"], plan=plan).collect()
+    for g, x in (("a", near), ("b", far)):
+        want = ((x - x.mean()) ** 2).sum()
+        # means at 1e9 are known to 1e-7
+        assert found[(g,)].centred[0, 0] == pytest.approx(want, rel=1e-7)
+        assert found[(g,)].centred[0, 1] == pytest.approx(3 * want, rel=1e-7)
+    both = found[("a",)] + found[("b",)]
+    assert both.n == 800 and both.means[0] == pytest.approx(np.concatenate([near, far]).mean(), rel=1e-12)
+
+
+def test_one_pass_and_no_job_before_it(data, spark):
+    df, *_ = data
+    context = spark.sparkContext
+    for plan in ("native", "arrow"):
+        context.setJobGroup(f"moments-{plan}", "")
+        table = moments(df, Design(numericals=COLUMNS), "y", by=["fold"], plan=plan)
+        assert not context.statusTracker().getJobIdsForGroup(f"moments-{plan}")
+        table.collect()
+        assert len(context.statusTracker().getJobIdsForGroup(f"moments-{plan}")) <= 3
+    context.setJobGroup("tests", "")
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 6), st.integers(1, 40), st.integers(1, 5))
+def test_merging_tiles_in_any_batches(seed, side, parts, keys):
+    rng = np.random.default_rng(seed)
+    level = float(rng.choice([0.0, 1e6]))
+    rows = [level + rng.normal(size=(rng.integers(1, 5), side)) for _ in range(parts)]
+    key = np.sort(rng.integers(0, keys, parts))
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    stats = [comoments(r) for r in rows]
+    n = np.array([len(r) for r in rows], float)
+    means = np.stack([m for m, _ in stats])
+    done = ops.partials.merged_tiles(n, means, means, np.stack([c.ravel() for _, c in stats]), starts)
+    for i, k in enumerate(key[starts]):
+        whole = np.concatenate([r for r, mine in zip(rows, key) if mine == k])
+        mean, want = comoments(whole)
+        assert done[0][i] == len(whole) and np.allclose(done[1][i], mean)
+        assert np.allclose(done[3][i].reshape(side, side), want, rtol=1e-8, atol=1e-8)
+
+
+def test_many_small_groups_are_reduced_together(spark, monkeypatch):
+    df = spark.range(0, 3000, 1, 3).selectExpr("id % 700 AS g", "id * 1.5D AS a", "(id * 7919) % 101 + 1e7D AS b")
+    few = moments(df, Design(numericals=("a",)), "b", by=["g"], plan="arrow").collect()
+    monkeypatch.setattr(ops.partials, "ROWS_PER_GROUP", 0)
+    one_by_one = moments(df, Design(numericals=("a",)), "b", by=["g"], plan="arrow").collect()
+    assert few.keys() == one_by_one.keys() and len(few) == 700
+    for k in few:
+        assert np.allclose(few[k].centred, one_by_one[k].centred) and few[k].n == one_by_one[k].n
+
+
+def joined_frames(spark, hot=False):
+    rng = np.random.default_rng(8)
+    keys = [1 if hot and i % 2 else int(k) for i, k in enumerate(rng.integers(0, 40, 900))]
+    people = [(k if i % 50 else None, k % 3, float(1e6 + rng.normal()), None if i % 37 == 0 else float(rng.normal()), int(i % 2)) for i, k in enumerate(keys)]
+    homes = [(k, k % 3, float(rng.normal()), None if k == 5 else float(k), "u" if k % 2 else None) for k in range(2, 60)]
+    homes += [(7, 1, 2.5, 3.5, "u"), (None, 1, 1.0, 1.0, "u"), (1, 1, 0.5, 1.0, "v")]
+    many = spark.createDataFrame(people, "k int, st int, x double, y double, sex int").repartition(4)
+    return many, spark.createDataFrame(homes, "k int, st int, w double, z double, kind string").repartition(3)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("by", [[], ["kind"], ["sex"], ["kind", "sex"], ["k"]])
+@pytest.mark.parametrize("numericals, label", [(("w", "x", "z"), "y"), (("x",), "z"), (("w",), None), (("x", "y"), None)])
+def test_moments_over_a_join(spark, hot, by, numericals, label):
+    many, one = joined_frames(spark, hot)
+    want = moments(many.join(one, ["k", "st"]), Design(numericals=numericals), label, by=by).collect()
+    found = ops.moments_over_join(many, one, ["k", "st"], numericals, label, by=by).collect()
+    assert found.keys() == want.keys() and want
+    for group, m in want.items():
+        assert found[group].n == m.n and found[group].terms == m.terms
+        assert np.allclose(found[group].means, m.means, rtol=1e-12) and np.allclose(found[group].centred, m.centred, rtol=1e-8, atol=1e-5)
+
+
+def test_the_join_meets_one_row_per_key(spark):
+    many, one = joined_frames(spark, hot=True)
+    table = ops.moments_over_join(many, one, ["k", "st"], ["x", "w"], "y")
+    plan = table.packed._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join Inner") :]
+    assert "Aggregate" in join  # below the join, on the side of the many
+
+
+def test_more_columns_than_a_tile_are_joined(spark, monkeypatch):
+    many, one = joined_frames(spark)
+    want = ops.moments_over_join(many, one, ["k", "st"], ["x", "w"], "y").collect()[()]
+    monkeypatch.setattr(ops.partials, "TILE", 1)
+    found = ops.moments_over_join(many, one, ["k", "st"], ["x", "w"], "y").collect()[()]
+    assert np.allclose(found.centred, want.centred, rtol=1e-8)
 
 
 def test_too_many_groups_to_hold_are_refused(spark, monkeypatch):
     df = spark.range(500).select(F.col("id").alias("g"), F.col("id").cast("double").alias("a"))
-    monkeypatch.setattr(ops, "COLLECT_BYTES", 100 * 64 * 8)
+    monkeypatch.setattr(ops, "COLLECT_BYTES", 100 * 3 * 8)
     with pytest.raises(ValueError, match="more than"):
         moments(df, Design(numericals=("a",)), by=["g"]).collect()
     monkeypatch.setattr(ops, "COLLECT_BYTES", 1)
