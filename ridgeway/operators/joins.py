@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,6 +31,28 @@ def join_tables(
     return left.join(right, on=list(on), how=how)
 
 
+def join_checked(left: DataFrame, right: DataFrame, on: Sequence[str], name: str = "join") -> tuple[DataFrame, Observation]:
+    """The inner join, and what its scan tells about the contract that ``right`` has each key once.
+
+    The counts come with whatever action reads the join, without a job of their own:
+    ``rows`` of the result, ``unmatched`` rows of ``left`` without a partner (null keys
+    included), ``repeated`` rows of the result whose key ``right`` has more than once.
+    Copies of a key are counted where the join has put them anyway.
+    """
+    copies, met = "_copies", Observation(name)
+    key = Window.partitionBy(*on)
+    counted = right.withColumn(copies, F.count(F.lit(1)).over(key))
+    matched = F.col(copies).isNotNull()
+    # the counts stand between the join and the filter, so unmatched rows are still there
+    rows = left.join(counted, list(on), "left").observe(
+        met,
+        F.count(F.when(matched, 1)).alias("rows"),
+        F.count(F.when(~matched, 1)).alias("unmatched"),
+        F.count(F.when(F.col(copies) > 1, 1)).alias("repeated"),
+    )
+    return rows.filter(matched).drop(copies), met
+
+
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Bag union of any number of tables, columns matched by name."""
     if not frames:

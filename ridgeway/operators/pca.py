@@ -1,4 +1,4 @@
-"""Principal components from the covariance that the second moments give."""
+"""Principal components from the covariance that the second moments give, or from a sketch of it."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeway.functions.linear import linear_column, projection
-from ridgeway.operators.moments import Design, moments
+from ridgeway.operators import wide
+from ridgeway.operators.moments import MAX_WIDTH, Design, moments
 from ridgeway.operators.ridge import only_moments
 from ridgeway.operators.solvers import principal_axes
 
@@ -23,6 +24,8 @@ class PrincipalComponents:
     axes: np.ndarray
     variances: np.ndarray
     total_variance: float
+    # how far each variance may be from one of the covariance matrix
+    bounds: np.ndarray | None = None
 
     @property
     def k(self) -> int:
@@ -58,9 +61,30 @@ def fit_pca(
     k: int,
     numericals: Sequence[str] = (),
     arrays: Sequence[tuple[str, int]] = (),
+    method: str = "auto",
 ) -> PrincipalComponents:
-    """The k axes of largest variance; ``PrincipalComponents.k`` says how many there are."""
+    """The k axes of largest variance; fewer if there are fewer features, as ``PrincipalComponents.k`` says.
+
+    ``method`` is 'matrix' (exact, up to ``MAX_WIDTH`` features), 'sketch' (two passes at
+    any width; ``bounds`` say how far each variance may be off) or 'auto'.
+    """
+    if method not in ("auto", "matrix", "sketch"):
+        raise ValueError("method must be 'auto', 'matrix' or 'sketch'")
     design = Design(numericals=tuple(numericals), arrays=tuple(arrays))
+    if method == "sketch" or method == "auto" and len(design.terms) > MAX_WIDTH:
+        return _sketched(df, design, k)
     covariance = only_moments(moments(df, design)).covariance
     axes, variances = principal_axes(covariance, min(k, len(covariance)))
-    return PrincipalComponents(design, axes, variances, float(np.trace(covariance)))
+    return PrincipalComponents(design, axes, variances, float(np.trace(covariance)), np.zeros(len(variances)))
+
+
+def _sketched(df: DataFrame, design: Design, k: int) -> PrincipalComponents:
+    rows = df.select(*design.columns, F.lit(0).alias("part"), F.lit(0.0).alias("_no_label"))
+    blocks = wide.WideRows(rows, design, "_no_label")
+    if not len(blocks.parts):
+        raise ValueError("no rows to fit")
+    sums = blocks.sums()
+    whole = sums.over(np.ones(1, bool))
+    found = wide.sketched_axes(blocks, sums, np.ones(blocks.width), [0], min(k, blocks.width))
+    total = (whole.xx - whole.x**2 / whole.n).clip(0).sum() / max(whole.n - 1, 1)
+    return PrincipalComponents(design, found.axes, found.variances, float(total), found.bounds)

@@ -23,14 +23,13 @@ from pyspark.ml.param.shared import (
     Params,
     TypeConverters,
 )
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ridgeway.functions.linear import dot, linear_column
-from ridgeway.operators import solvers
+from ridgeway.operators import solvers, wide
 from ridgeway.operators.moments import (
     MAX_WIDTH,
     Design,
@@ -159,25 +158,22 @@ def alpha_to_regparam(alpha: float, n: float, label_std: float) -> float:
     return alpha * label_std / n
 
 
-def fit_ridge_iterative(df: DataFrame, features: str, label: str, alpha: float) -> LinearRegressionModel:
-    """The same problem by gradients, for vectors too wide for a Gram matrix.
+def fit_ridge_wide(df: DataFrame, features: str, width: int, label: str, alpha: float) -> LinearFit:
+    """The same problem for vectors too wide for a Gram matrix, by conjugate gradients.
 
-    Nothing of size p² is formed; sparse vectors stay sparse.
+    Nothing of size p² is formed. It ends with a small residual or fails.
     """
     solvers.check_alpha(alpha)
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(label).alias("dev")).first()
-    if not stats["n"]:
+    design = Design(arrays=((features, width),))
+    rows = wide.WideRows(df.select(features, label, F.lit(0).alias("part")), design, label)
+    if not len(rows.parts):
         raise ValueError("no rows to fit")
-    return LinearRegression(
-        featuresCol=features,
-        labelCol=label,
-        regParam=alpha_to_regparam(alpha, stats["n"], stats["dev"] or 0.0),
-        elasticNetParam=0.0,
-        standardization=False,
-        solver="l-bfgs",
-        maxIter=300,
-        tol=1e-9,
-    ).fit(df)
+    sums = rows.sums()
+    scale = wide.scales(sums, np.ones(1, bool))
+    slopes, intercepts = wide.solve(rows, sums, scale, [wide.System(alpha, None)], [0], raw_penalty=True)
+    slope = slopes[:, 0]
+    intercept = intercepts[0] + rows.pivot[-1] - rows.pivot[:-1] @ slope
+    return LinearFit(design.terms, float(intercept), slope)
 
 
 class _RidgeParams(HasFeaturesCol, HasLabelCol, HasPredictionCol):
@@ -201,9 +197,8 @@ class RidgeRegression(Estimator, _RidgeParams, DefaultParamsReadable, DefaultPar
         column = self.getFeaturesCol()
         width = vector_width(dataset, column)
         if width > MAX_WIDTH:
-            found = fit_ridge_iterative(dataset, column, self.getLabelCol(), self.getAlpha())
-            slopes = found.coefficients.toArray().tolist()
-            return self._copyValues(RidgeRegressionModel(float(found.intercept), slopes))
+            fit = fit_ridge_wide(dataset, column, width, self.getLabelCol(), self.getAlpha())
+            return self._copyValues(RidgeRegressionModel(fit.intercept, fit.slopes.tolist()))
         design = Design(arrays=((column, width),))
         fit = fit_moments(only_moments(moments(dataset, design, self.getLabelCol())), self.getAlpha())
         return self._copyValues(RidgeRegressionModel(fit.intercept, fit.slopes.tolist()))

@@ -4,7 +4,9 @@ Nothing of size p² is formed. One pass over the rows multiplies XᵀX by a bloc
 vectors: each task adds up its rows' share, and the shares are summed as packed rows.
 All systems of a cross-validation (every penalty on every training set) go through
 conjugate gradients together, so an iteration costs one pass for all of them; the
-method stops when every residual is small and fails if that is not reached.
+method stops when every residual is small and fails if that is not reached. The
+systems share a preconditioner: the leading axes of a sketch, which two passes give,
+so that the few directions that most columns share don't cost an iteration each.
 One-hot columns are index lookups, never vectors.
 """
 
@@ -29,6 +31,10 @@ MOST_PASSES = 500
 PIVOT_ROWS = 64
 # vectors of a Krylov block beyond the axes asked for
 SPARE_VECTORS = 8
+# vectors of a sketch beyond the axes asked for, and axes of a preconditioner
+SPARE_SKETCH = 32
+PRECONDITIONER_AXES = 64
+LEAST_AXIS = 1e-6
 
 
 def _pivot(df: DataFrame, design: Design, label: str | None) -> np.ndarray:
@@ -108,6 +114,8 @@ class WideRows:
         self.rows = rows.select(*wanted)
         parts = rows.select("part").distinct().collect()  # folds
         self.parts = np.array(sorted(r["part"] for r in parts), int)
+        # passes over the rows so far that multiplied XᵀX
+        self.products = 0
 
     def total(self, add: Callable[[np.ndarray, Block], None], size: int) -> np.ndarray:
         """What ``add`` gathers over all rows in an array of ``size`` numbers."""
@@ -154,6 +162,7 @@ class WideRows:
     def product(self, vectors: np.ndarray, uses: np.ndarray) -> np.ndarray:
         """XᵀX·vectors, column s over the rows of the parts for which ``uses[part, s]``."""
         shape = vectors.shape
+        self.products += 1
 
         def add(gathered: np.ndarray, block: Block) -> None:
             scores = block.times(vectors) * uses[block.part]
@@ -206,8 +215,10 @@ class Block:
         """Xᵀ·scores."""
         out = np.zeros((self.width + 1, scores.shape[1]))
         out[: self.dense.shape[1]] = self.dense.T @ scores
+        size, k = out.shape
         for c in range(self.slots.shape[1]):
-            np.add.at(out, self.slots[:, c], scores)
+            at = (self.slots[:, c, None] % size * k + np.arange(k)).ravel()  # slot -1 is the last row
+            out += np.bincount(at, weights=scores.ravel(), minlength=size * k).reshape(size, k)
         return out[:-1]
 
     def squares(self) -> np.ndarray:
@@ -231,12 +242,24 @@ def scales(sums: PartSums, train: np.ndarray) -> np.ndarray:
 
 
 def solve(
-    rows: WideRows, sums: PartSums, scale: np.ndarray, systems: Sequence[System], train: Sequence[int]
+    rows: WideRows,
+    sums: PartSums,
+    scale: np.ndarray,
+    systems: Sequence[System],
+    train: Sequence[int],
+    axes: int = PRECONDITIONER_AXES,
+    raw_penalty: bool = False,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Slopes (one column per system) and intercepts, of features about the pivot."""
+    """Slopes (one column per system) and intercepts, of features about the pivot.
+
+    The penalty is on the slopes of the scaled features, or with ``raw_penalty`` on those
+    of the features as they are. ``axes``: of the preconditioner, from all training rows;
+    0 for the diagonal alone.
+    """
     trained = np.isin(rows.parts, list(train))
     uses = np.stack([trained & (rows.parts != s.held_out) for s in systems], axis=1)
     alphas = np.array([s.alpha for s in systems])
+    penalty = np.outer(scale**2 if raw_penalty else np.ones(len(scale)), alphas)
     over = [sums.over(u) for u in uses.T]
     n, y = np.array([o.n for o in over]), np.array([o.y for o in over])
     x = np.stack([o.x for o in over], axis=1)
@@ -245,12 +268,12 @@ def solve(
     def times(v: np.ndarray) -> np.ndarray:
         raw = scale[:, None] * v
         full = rows.product(raw, uses) - x * ((x * raw).sum(axis=0) / n)
-        return scale[:, None] * full + alphas * v
+        return scale[:, None] * full + penalty * v
 
     found, residual = np.zeros_like(right), right.copy()
-    # the diagonal of standardised features is about n
-    weight = 1.0 / (n + alphas)
-    direction = weight * residual
+    spread = scale[:, None] ** 2 * (np.stack([o.xx for o in over], axis=1) - x**2 / n)
+    near = _preconditioner(rows, sums, scale, train, penalty, np.maximum(spread, 0.0) + penalty, axes)
+    direction = near(residual)
     size = (residual * direction).sum(axis=0)
     goal = TOLERANCE * np.sqrt((right**2).sum(axis=0))
     for _ in range(MOST_PASSES):
@@ -262,7 +285,7 @@ def solve(
         step = np.divide(size, curve, out=np.zeros_like(size), where=open_ & (curve > 0))
         found += step * direction
         residual -= step * image
-        shifted = weight * residual
+        shifted = near(residual)
         new = (residual * shifted).sum(axis=0)
         direction = shifted + np.divide(new, size, out=np.zeros_like(size), where=size > 0) * direction
         size = new
@@ -272,10 +295,39 @@ def solve(
     return slopes, y / n - (x * slopes).sum(axis=0) / n
 
 
-def principal_axes(
-    rows: WideRows, sums: PartSums, scale: np.ndarray, train: Sequence[int], k: int, seed: int = 0
-) -> np.ndarray:
-    """The k leading axes of the training rows' correlation matrix, as columns (block Krylov)."""
+def _preconditioner(
+    rows: WideRows,
+    sums: PartSums,
+    scale: np.ndarray,
+    train: Sequence[int],
+    penalty: np.ndarray,
+    diagonal: np.ndarray,
+    axes: int,
+) -> Callable[[np.ndarray], np.ndarray]:
+    """An inverse near that of every system: on the sketch's axes theirs, elsewhere that of the last axis."""
+    if not axes:
+        inverse = np.divide(1.0, diagonal, out=np.ones_like(diagonal), where=diagonal > 0)
+        return lambda v: inverse * v
+    found = sketched_axes(rows, sums, scale, train, min(axes, rows.width), spare=0)
+    n = sums.over(np.isin(rows.parts, list(train))).n
+    values = found.variances[:, None] * (n - 1) + np.median(penalty, axis=0)
+    # what is far below the first axis is rounding as well
+    values = np.maximum(values, np.where(values[0] > 0, LEAST_AXIS * values[0], 1.0))
+    gain = values[-1] / values - 1.0
+    return lambda v: (v + found.axes @ (gain * (found.axes.T @ v))) / values[-1]
+
+
+@dataclass(frozen=True)
+class Sketch:
+    """Axes as columns, the variance along each, and how far at most it is from one of the matrix."""
+
+    axes: np.ndarray
+    variances: np.ndarray
+    bounds: np.ndarray
+
+
+def _covariance(rows: WideRows, sums: PartSums, scale: np.ndarray, train: Sequence[int]) -> Callable[[np.ndarray], np.ndarray]:
+    """v ↦ C·v for the training rows' covariance of scaled features: one pass."""
     trained = np.isin(rows.parts, list(train))
     whole = sums.over(trained)
 
@@ -283,8 +335,48 @@ def principal_axes(
         raw = scale[:, None] * v
         uses = np.repeat(trained[:, None], v.shape[1], axis=1)
         full = rows.product(raw, uses) - np.outer(whole.x, whole.x @ raw) / whole.n
-        return scale[:, None] * full / (whole.n - 1)
+        return scale[:, None] * full / max(whole.n - 1, 1)
+
+    return times
+
+
+def sketched_axes(
+    rows: WideRows,
+    sums: PartSums,
+    scale: np.ndarray,
+    train: Sequence[int],
+    k: int,
+    spare: int = SPARE_SKETCH,
+    seed: int = 0,
+) -> Sketch:
+    """Up to k leading axes of the training rows' covariance, from two passes at any width.
+
+    The first multiplies a seeded random block, whose image spans the leading axes nearly;
+    the second multiplies the range's orthogonal basis and corrects: the axes are the best of
+    that range, and ‖C·a − v·a‖ bounds how far v is from a variance of C. A covariance of
+    rank up to k + ``spare`` is met exactly.
+    """
+    times = _covariance(rows, sums, scale, train)
+    width = min(rows.width, k + spare)
+    image = times(np.random.default_rng(seed).normal(size=(rows.width, width)))
+    left, sizes, _ = np.linalg.svd(image, full_matrices=False)
+    basis = left[:, sizes > 1e-13 * max(sizes.max(initial=0.0), 1e-300)]
+    if not basis.shape[1]:  # nothing varies
+        basis = np.eye(rows.width, min(k, rows.width))
+    image = times(basis)
+    values, inner = np.linalg.eigh((basis.T @ image + image.T @ basis) / 2)
+    order = np.argsort(values)[::-1][:k]
+    axes, values = basis @ inner[:, order], values[order]
+    bounds = np.sqrt(((image @ inner[:, order] - axes * values) ** 2).sum(axis=0))
+    leading = axes[np.abs(axes).argmax(axis=0), np.arange(axes.shape[1])]
+    return Sketch(axes * np.where(leading < 0, -1.0, 1.0), np.maximum(values, 0.0), bounds)
+
 
+def principal_axes(
+    rows: WideRows, sums: PartSums, scale: np.ndarray, train: Sequence[int], k: int, seed: int = 0
+) -> np.ndarray:
+    """The k leading axes of the training rows' correlation matrix, as columns (block Krylov)."""
+    times = _covariance(rows, sums, scale, train)
     width = min(rows.width, k + SPARE_VECTORS)
     block = np.linalg.qr(np.random.default_rng(seed).normal(size=(rows.width, width)))[0]
     space, images = np.zeros((rows.width, 0)), np.zeros((rows.width, 0))

@@ -110,8 +110,8 @@ _NEAR = """SELECT l_extendedprice AS x1, l_extendedprice * l_tax AS x2, y * (1 +
 
 
 @query(f"""WITH {sql.LINES}, near AS ({_NEAR}), fit AS ({sql.two_feature_fit('near', '0.0', x1='x1', x2='x2')})
-SELECT {sql.significant('b0', 3)} AS intercept, {sql.significant('b1 - b2 * 1e7', 6)} AS slope_price,
-       {sql.significant('b2 * 1e7', 6)} AS slope_near FROM fit""")
+SELECT {sql.significant('b0', 3)} AS intercept, {sql.significant('(b1 - b2 * 1e7)', 6)} AS slope_price,
+       {sql.significant('(b2 * 1e7)', 6)} AS slope_near FROM fit""")
 def ridge_fit_collinear(spark, sf_dir):
     """The price, and a feature that differs from it in the eighth digit; the twin takes their difference apart."""
     near = lines(spark, sf_dir).select(

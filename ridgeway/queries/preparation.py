@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ridgeway.operators.columns import assign_roles, drop_columns, drop_matching, random_subset
-from ridgeway.operators.joins import join_tables, union_by_name, zip_join
+from ridgeway.operators.joins import join_checked, join_tables, union_by_name, zip_join
 from ridgeway.operators.rows import drop_null_label, fill_nulls, non_null_counts
 from ridgeway.queries import sql
 from ridgeway.queries.registry import query
 from ridgeway.queries.tables import LINE_KEYS, SPEC, lines, model_rows, table
 from ridgeway.sources.stage import new_folder
-from ridgeway.sources.tables import load_modelling_table, read_parts, write_parts
+from ridgeway.sources.tables import load_modelling_table, read_mixed, read_parts, write_parts
 
 
 @query("SELECT * FROM orders")
@@ -27,6 +27,56 @@ def scan_parts(spark, sf_dir):
     return read_parts(spark, paths, orders.schema)
 
 
+def _mixed(spark, sf_dir):
+    """Orders in two CSV parts of another column order, a column too many, and numbers that are none."""
+    orders = table(spark, sf_dir, "orders")
+    odd = F.col("o_orderkey") % 2 == 1
+    price = F.when(F.col("o_orderkey") % 97 == 3, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    date = F.when(F.col("o_orderkey") % 89 == 5, "soon").otherwise(F.col("o_orderdate").cast("string"))
+    other = orders.filter(odd).withColumns({"o_totalprice": price, "o_orderdate": date, "note": F.lit("a, b")})
+    folder = new_folder(spark, "orders-mixed")
+    paths = [
+        write_parts(orders.filter(~odd).drop("o_orderstatus"), f"{folder}/a", "csv"),
+        write_parts(other.select(*sorted(other.columns, reverse=True)), f"{folder}/b", "csv"),
+    ]
+    return read_mixed(spark, paths, orders.schema)
+
+
+_ODD = "o_orderkey % 2 = 1"
+_BAD_PRICE, _BAD_DATE = f"({_ODD} AND o_orderkey % 97 = 3)", f"({_ODD} AND o_orderkey % 89 = 5)"
+
+
+@query(f"""SELECT o_orderkey, o_custkey, CASE WHEN {_ODD} THEN o_orderstatus END AS o_orderstatus, o_totalprice,
+       o_orderdate, o_orderpriority FROM orders WHERE NOT {_BAD_PRICE} AND NOT {_BAD_DATE}""")
+def scan_parts_mixed(spark, sf_dir):
+    """Columns by each file's own header; records that don't parse are elsewhere."""
+    return _mixed(spark, sf_dir).rows
+
+
+@query(f"""SELECT o_orderkey, concat_ws(',', CASE WHEN {_BAD_PRICE} THEN 'o_totalprice' END,
+       CASE WHEN {_BAD_DATE} THEN 'o_orderdate' END) AS reason FROM orders WHERE {_BAD_PRICE} OR {_BAD_DATE}""")
+def scan_parts_rejected(spark, sf_dir):
+    """The records that don't parse, and why."""
+    rejected = _mixed(spark, sf_dir).rejected
+    return rejected.select(F.get_json_object("record", "$.o_orderkey").cast("long").alias("o_orderkey"), "reason")
+
+
+@query("""WITH o AS (SELECT * FROM orders WHERE o_orderkey % 10 <> 3 UNION ALL SELECT * FROM orders WHERE o_orderkey % 50 = 7),
+copies AS (SELECT o_orderkey, count(*) AS n FROM o GROUP BY o_orderkey)
+SELECT (SELECT count(*) FROM lineitem JOIN o ON l_orderkey = o_orderkey) AS n_joined,
+  (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM o)) AS n_unmatched,
+  (SELECT coalesce(sum(n), 0)::BIGINT FROM lineitem JOIN copies ON l_orderkey = o_orderkey WHERE n > 1) AS n_repeated""")
+def join_key_contract(spark, sf_dir):
+    """Lines of orders, some missing and some there twice: both counted by the scan that joins."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
+    twice = orders.filter("l_orderkey % 10 <> 3").unionByName(orders.filter("l_orderkey % 50 = 7"))
+    joined, met = join_checked(table(spark, sf_dir, "lineitem"), twice, ["l_orderkey"])
+    n = joined.count()
+    counts = met.get
+    rows = [(n, counts["unmatched"], counts["repeated"])]
+    return spark.createDataFrame(rows, "n_joined long, n_unmatched long, n_repeated long")
+
+
 @query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
        "l_discount, l_returnflag, l_linestatus FROM lineitem", name="drop_columns")
 def drop_columns_by_name(spark, sf_dir):

@@ -266,3 +266,24 @@ def pca_embeddings(spark, sf_dir):
     axes = fit_pca(rows, 8, arrays=[("embedding", EMBEDDING_WIDTH)])
     scores = [f"pc{i + 1}" for i in range(axes.k)]
     return axes.transform(rows).select("vec_id", *(F.round(c, 6).alias(c) for c in scores))
+
+
+# forty combinations of four columns, so that the covariance has four axes
+_COMBINED = [
+    f"l_quantity / 50 * {(7 * i) % 11 - 5} + l_extendedprice / 1e5 * {(5 * i) % 7 - 3}"
+    f" + l_tax * 10 * {(3 * i) % 13 - 6} + l_discount * 10 * {(11 * i) % 5 - 2}"
+    for i in range(40)
+]
+
+
+@query(f"""WITH RECURSIVE {sql.LINES},
+wide AS (SELECT {", ".join(f"{c} AS x{i}" for i, c in enumerate(_COMBINED))} FROM lines),
+matrix AS (SELECT [{", ".join(
+    "[" + ", ".join(f"covar_samp(x{i}, x{j})" for j in range(40)) + "]" for i in range(40))}] AS m FROM wide),
+{sql.principal_axes('matrix', 4)}
+SELECT CAST(comp AS INTEGER) AS component, {sql.significant('variance', 7)} AS variance FROM axes""")
+def pca_sketch(spark, sf_dir):
+    """Four components of forty columns from two passes that form no matrix."""
+    features = F.array(*(F.expr(c.replace("1e5", "1e5D")) for c in _COMBINED))
+    found = fit_pca(lines(spark, sf_dir).select(features.alias("v")), 4, arrays=[("v", 40)], method="sketch")
+    return found.explained_variance(spark).select("component", significant("variance", 7).alias("variance"))

@@ -1,4 +1,4 @@
-"""Append-only table of run metrics."""
+"""Table of run metrics, a partition per run."""
 
 from __future__ import annotations
 
@@ -13,8 +13,9 @@ METRICS_SCHEMA = "run_id string, step string, metric string, value double, elaps
 class MetricsLog:
     """Collects ``(step, metric, value)`` with the time since the start.
 
-    Rows are few (one per reported number) and are appended in one write by
-    :meth:`flush`, so a run leaves one small file, not one per metric.
+    Rows are few (one per reported number). :meth:`flush` writes all of the run's rows so
+    far in place of those written before: a run that is flushed or tried again counts once,
+    other runs stay as they are, and a run leaves one small file, not one per metric.
     """
 
     def __init__(self, spark: SparkSession, path: str, run_id: str | None = None):
@@ -31,9 +32,11 @@ class MetricsLog:
 
     def flush(self) -> None:
         if self._rows:
-            rows = self.spark.createDataFrame(self._rows, METRICS_SCHEMA)
-            rows.coalesce(1).write.mode("append").parquet(self.path)
-            self._rows = []
+            rows = self.spark.createDataFrame(self._rows, METRICS_SCHEMA).coalesce(1)
+            writer = rows.write.partitionBy("run_id").mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(METRICS_SCHEMA).parquet(self.path)
+        """The rows of all runs."""
+        found = self.spark.read.schema(METRICS_SCHEMA).parquet(self.path)
+        return found.select(*(field.split()[0] for field in METRICS_SCHEMA.split(", ")))

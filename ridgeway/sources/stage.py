@@ -3,7 +3,8 @@
 ``reused`` keeps a frame in the executors' memory and disk for the length of a
 ``with`` block; a lost block is recomputed from its lineage. ``staged`` writes
 the frame to the folder all executors share, which also cuts the lineage: what
-is read back can no longer change when a shuffle is recomputed.
+is read back can no longer change when a shuffle is recomputed. A :class:`Scope`
+deletes what was staged inside it.
 """
 
 from __future__ import annotations
@@ -50,9 +51,49 @@ def new_folder(spark: SparkSession, name: str) -> str:
     folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     files, path = _path(spark, folder)
     files.deleteOnExit(path)
+    if _SCOPES:
+        _SCOPES[-1].folders.append(folder)
     return folder
 
 
+#: Open scopes, the innermost last.
+_SCOPES: list[Scope] = []
+
+
+class Scope:
+    """Owns what is staged while it is open, and deletes it at the end.
+
+    ``with Scope(spark) as scope: result = scope.result(operator(df), "name")`` leaves the
+    written result and nothing else: operators stage tables that a lazy result still reads,
+    so they can go only once the result is written. Scopes nest; a result belongs to the
+    scope around.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[str] = []
+
+    def __enter__(self) -> Scope:
+        _SCOPES.append(self)
+        return self
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to a folder that outlives this scope, read back."""
+        written = staged(df, name)
+        kept = self.folders.pop()
+        around = _SCOPES[: _SCOPES.index(self)]
+        if around:
+            around[-1].folders.append(kept)
+        return written
+
+    def __exit__(self, *_) -> None:
+        _SCOPES.remove(self)
+        for folder in self.folders:
+            files, path = _path(self.spark, folder)
+            files.delete(path, True)
+        self.folders.clear()
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and return a scan of the written table."""
     spark = df.sparkSession

@@ -10,7 +10,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ridgeway.operators import ridge as ops
-from ridgeway.operators import solvers
+from ridgeway.operators import solvers, wide
 from ridgeway.operators.crossval import best_alpha, cross_validate, mean_scores, score_folds
 from ridgeway.operators.metrics import r2
 from ridgeway.operators.moments import Design, Moments, moments
@@ -248,3 +248,92 @@ def test_grouped_fits_of_many_features(spark):
     for g in range(5):
         want = closed_form(x[g::5] - 1e6, y[g::5], 0.5)
         assert np.allclose([by_group[g, n] for n in names], want[1:], rtol=1e-6)
+
+
+def collinear_one_hot(spark):
+    """Two one-hot columns where the second nearly repeats the first, and a shared level."""
+    rng = np.random.default_rng(6)
+    n = 20_000
+    g = rng.integers(0, 30, n)
+    h = np.where(rng.random(n) < 0.97, g, rng.integers(0, 30, n))
+    x = rng.normal(size=n) + g / 10
+    y = x + np.sin(g) + 0.1 * rng.normal(size=n)
+    rows = [(int(a), int(b), float(c), float(t), int(i % 5)) for i, (a, b, c, t) in enumerate(zip(g, h, x, y))]
+    df = spark.createDataFrame(rows, "g int, h int, x double, y double, part int").repartition(4)
+    labels = {c: tuple(str(i) for i in range(30)) for c in ("g", "h")}
+    return df, Design(numericals=("x",), categoricals=("g", "h"), labels=labels)
+
+
+def test_the_sketch_saves_passes(spark, monkeypatch):
+    df, design = collinear_one_hot(spark)
+    systems = [wide.System(a, f) for a in (0.1, 1.0) for f in (0, 1, None)]
+    rows = wide.WideRows(df, design, "y")
+    sums = rows.sums()
+    scale = wide.scales(sums, np.ones(5, bool))
+    slopes, _ = wide.solve(rows, sums, scale, systems, range(5))
+    assert rows.products <= 20
+    whole = moments(df, design, "y").collect()[()]
+    std = np.diag(np.divide(1.0, whole.std, out=np.zeros(whole.p), where=whole.std > 0))
+    assert np.allclose(slopes[:, 2], ops.fit_moments(whole, 0.1, std).slopes, atol=1e-6)
+    monkeypatch.setattr(wide, "MOST_PASSES", 20)
+    with pytest.raises(ArithmeticError, match="convergence"):
+        wide.solve(rows, sums, scale, systems, range(5), axes=0)
+
+
+def test_a_sketch_takes_two_passes_and_bounds_its_error(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 6)) @ rng.normal(size=(6, 60)) * 3 + 0.01 * rng.normal(size=(500, 60)) + 50
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "v array<double>").repartition(3)
+    want = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
+    counted = []
+    product = wide.WideRows.product
+    monkeypatch.setattr(wide.WideRows, "product", lambda self, *a: counted.append(1) or product(self, *a))
+    found = fit_pca(df, 5, arrays=[("v", 60)], method="sketch")
+    assert len(counted) == 2 and found.k == 5
+    off = np.abs(found.variances[:, None] - want).min(axis=1)
+    assert (off <= found.bounds + 1e-9).all() and np.allclose(found.variances, want[:5], rtol=1e-5)
+    assert found.total_variance == pytest.approx(want.sum(), rel=1e-9)
+    assert np.allclose(np.abs(found.axes.T @ fit_pca(df, 5, arrays=[("v", 60)]).axes), np.eye(5), atol=1e-3)
+
+
+def test_principal_components_at_any_width(spark, monkeypatch):
+    df = spark.createDataFrame([([float(i), 2.0 * i, 5.1],) for i in range(40)], "v array<double>")
+    want = fit_pca(df, 3, arrays=[("v", 3)])
+    monkeypatch.setattr("ridgeway.operators.pca.MAX_WIDTH", 2)
+    found = fit_pca(df, 9, arrays=[("v", 3)])
+    assert found.variances[0] == pytest.approx(want.variances[0]) and np.allclose(found.variances[1:], 0.0, atol=1e-9)
+    constant = fit_pca(df.select(F.array(F.lit(1.5), F.lit(2.5)).alias("v")), 1, arrays=[("v", 2)], method="sketch")
+    assert constant.variances.tolist() == [0.0] and constant.total_variance == 0.0
+    with pytest.raises(ValueError, match="method"):
+        fit_pca(df, 1, arrays=[("v", 3)], method="other")
+    with pytest.raises(ValueError, match="no rows"):
+        fit_pca(df.limit(0), 1, arrays=[("v", 3)], method="sketch")
+
+
+def test_a_wide_estimator_of_columns_of_any_scale(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4)) * [1e-3, 1.0, 1e4, 0.0] + [0, 1e6, 0, 5.1]
+    y = x @ [1e3, 1.0, 1e-4, 0.0] + rng.normal(size=300)
+    df = spark.createDataFrame([(r.tolist(), float(t)) for r, t in zip(x, y)], "v array<double>, y double")
+    want = ops.RidgeRegression(featuresCol="v", labelCol="y", alpha=2.0).fit(df).coefficients
+    monkeypatch.setattr(ops, "MAX_WIDTH", 2)
+    found = ops.RidgeRegression(featuresCol="v", labelCol="y", alpha=2.0).fit(df).coefficients
+    assert np.allclose(found[1:], want[1:], rtol=1e-6, atol=1e-12) and found[0] == pytest.approx(want[0], rel=1e-6)
+    monkeypatch.setattr(wide, "MOST_PASSES", 1)
+    monkeypatch.setattr(wide, "PRECONDITIONER_AXES", 0)
+    with pytest.raises(ArithmeticError, match="convergence"):
+        wide.solve(*(lambda r: (r, r.sums(), np.ones(4), [wide.System(2.0, None)], [0], 0))(wide.WideRows(df.withColumn("part", F.lit(0)), Design(arrays=(("v", 4),)), "y")))
+
+
+def test_a_path_of_penalties_is_one_decomposition(monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(50, 6))
+    x[:, 5] = x[:, 4]
+    spread, cross = x.T @ x, x.T @ rng.normal(size=50)
+    alphas = [0.0, *np.logspace(-3, 3, 40)]
+    counted, eigh = [], np.linalg.eigh
+    monkeypatch.setattr(solvers.np.linalg, "eigh", lambda m: counted.append(1) or eigh(m))
+    found = solvers.ridge_path(spread, cross, alphas)
+    assert len(counted) == 1
+    for alpha, slopes in zip(alphas, found):
+        assert np.allclose(slopes, solvers.ridge_slopes(spread, cross, alpha), rtol=1e-8, atol=1e-10)

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from ridgeway.operators.joins import join_tables, union_by_name, with_position, zip_join
+from ridgeway.operators.joins import join_checked, join_tables, union_by_name, with_position, zip_join
 from ridgeway.operators.rows import drop_null_label, fill_nulls, non_null_counts
 from ridgeway.sources.metrics_log import MetricsLog
-from ridgeway.sources.stage import reused, shared_folder, staged
-from ridgeway.sources.tables import read_parts, spread, write_parts
+from ridgeway.sources.stage import Scope, reused, shared_folder, staged
+from ridgeway.sources.tables import read_mixed, read_parts, spread, write_parts
 
 
 def plan(df) -> str:
@@ -153,3 +155,72 @@ def test_metrics_log_appends(spark, tmp_path):
         ("r", "score", "r2", None),
     ]
     assert all(r.elapsed_s >= 0 for r in rows)
+
+
+def lines_of(path, name, text):
+    folder = path / name
+    folder.mkdir(parents=True)
+    (folder / "part.csv").write_text(text)
+    return str(folder)
+
+
+def test_files_that_disagree(spark, tmp_path):
+    paths = [
+        lines_of(tmp_path, "a", "id,x,name\n1,1.5,u\n2,,v\n3,many,w\nx,y,z\n"),
+        lines_of(tmp_path, "b", "NAME,extra,Id\nu,9,4\n,9,5\nv,9,6,7\nw,9\n"),
+        lines_of(tmp_path, "c", "id,x,name\n7,2.5,\"a, b\"\n"),
+        lines_of(tmp_path, "d", "id,x,name\n"),
+    ]
+    found = read_mixed(spark, paths, "id long, x double, name string")
+    rows = sorted((tuple(r) for r in found.rows.collect()), key=repr)
+    assert rows == [(1, 1.5, "u"), (2, None, "v"), (4, None, "u"), (5, None, None), (7, 2.5, "a, b")]
+    assert found.rows.columns == ["id", "x", "name"]
+    bad = {(r.file.split("/")[-2], r.reason) for r in found.rejected.collect()}
+    assert bad == {("a", "x"), ("a", "id,x"), ("b", "number of fields")} and found.rejected.count() == 4
+    assert found.rejected.where("reason = 'x'").first().record == '{"id":"3","x":"many","name":"w"}'
+
+
+def test_a_run_that_is_written_again_counts_once(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    for tries in range(2):
+        log = MetricsLog(spark, path, run_id="7")
+        log.add("load", "rows", 10 + tries)
+        log.flush()
+        log.add("score", "r2", None)
+        log.flush()
+    other = MetricsLog(spark, path, run_id="8")
+    other.add("load", "rows", 1)
+    other.flush()
+    MetricsLog(spark, path).flush()
+    rows = sorted((r.run_id, r.step, r.value) for r in other.read().collect())
+    assert rows == [("7", "load", 11.0), ("7", "score", None), ("8", "load", 1.0)]
+
+
+def test_a_scope_leaves_its_result_only(spark):
+    files = lambda: set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    before = files()
+    df = spark.range(10)
+    with Scope(spark) as outer:
+        with Scope(spark) as scope:
+            found = scope.result(staged(df, "one").join(staged(df, "two"), "id"), "result")
+        assert len(files() - before) == 1 and found.count() == 10
+        staged(df, "three")
+        kept = outer.result(found.limit(3), "last")
+    assert [name.split("-")[0] for name in files() - before] == ["last"] and kept.count() == 3
+    with pytest.raises(ZeroDivisionError), Scope(spark):
+        staged(df, "four")
+        1 / 0
+    assert len(files() - before) == 1
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_a_checked_join_counts_without_a_job_of_its_own(spark, threshold):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, x string")
+    right = spark.createDataFrame([(1, "p"), (2, "q"), (2, "r"), (9, "s"), (None, "t")], "k int, y string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        joined, met = join_checked(left, right, ["k"])
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, ["k"]).collect()))
+        assert met.get == {"rows": 4, "unmatched": 2, "repeated": 2}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
