@@ -230,7 +230,8 @@ def fit_languages(docs: DataFrame, rows: int = FIT_ROWS, lang: str = "lang") ->
         return None
     languages = sorted(counts)
     rate = F.create_map(*[x for name in languages for x in (F.lit(name), F.lit(min(1.0, rows / counts[name])))])
-    draw = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(1 << 32)) / float(1 << 32)
+    # by content alone: the same documents in other files, or read again, give the same sample
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) / float(1 << 32)
     sample = known.withColumn("draw", draw).where(F.col("draw") < rate[F.col("lang")]).select("text", "lang")
     n_slots = len(ORDERS) * SLOTS
 

@@ -70,3 +70,12 @@ def test_awkward_documents(spark):
     unlearnt = language.languages(awkward(spark, texts).withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in unlearnt.collect()} == {"und"}
     assert language.languages(none_of(spark)).count() == 0
+
+
+def test_the_sample_does_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    a, b = (
+        {r.doc_id: (r.lang_pred, r.score) for r in language.languages(docs.repartition(n, "source"), rows=20).collect()}
+        for n in (1, 7)
+    )
+    assert a == b
