@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeway.sources.stage import staged
 
-__all__ = ["bounded_slices", "fresh", "held_out", "raw_bytes", "read", "staged", "texts_as_bytes"]
+__all__ = ["Shared", "bounded_slices", "fresh", "held_out", "raw_bytes", "read", "staged", "texts_as_bytes"]
 
 #: Bytes of text that one step of a vectorised function works on.
 SLICE_BYTES = 1 << 21
@@ -21,6 +22,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Shared:
+    """A value of bounded size that every executor holds once: ``value`` inside a task.
+
+    It is sent as bytes that executors can read without having its class's package.
+    """
+
+    def __init__(self, spark: SparkSession, value: object) -> None:
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> object:
+        return cloudpickle.loads(self._sent.value)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgeway.llm import wordhash
-from ridgeway.llm.common import bounded_slices, held_out, raw_bytes
+from ridgeway.llm.common import Shared, bounded_slices, held_out, raw_bytes
 
 FIT_ROWS = 3_000
 ORDERS = (3, 4)
@@ -274,8 +274,7 @@ SPAN = pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("words", p
 
 def languages(docs: DataFrame, rows: int = FIT_ROWS, lang: str = "lang") -> DataFrame:
     """A row per row of ``docs``: doc_id, held_out, lang_pred, score, spans (lang, first_word, words)."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(fit_languages(docs, rows, lang))
+    model = Shared(docs.sparkSession, fit_languages(docs, rows, lang))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learnt: LanguageModel | None = model.value

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeway.llm.common import bounded_slices, staged
+from ridgeway.llm.common import Shared, bounded_slices, staged
 from ridgeway.llm.tokens import WordEncoder
 
 #: (((length, copies), ...), number of sequences)
@@ -297,15 +297,16 @@ def pack(
     out = [*(cut.schema[c] for c in columns)]
     if not histogram.any():
         return cut.selectExpr(*columns, "0L AS sequence_id", "0L AS offset")
-    places = docs.sparkSession.sparkContext.broadcast(_Places(pack_histogram(histogram)))
+    places = Shared(docs.sparkSession, _Places(pack_histogram(histogram)))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     ranked = cut.join(offsets, ["task", "length"]).select(*columns, (F.col("before") + F.col("nth")).alias("rank"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = places.value
         for batch in batches:
             length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
-            sequence, offset = places.value(length.astype(np.int64), rank.astype(np.int64))
+            sequence, offset = place(length.astype(np.int64), rank.astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [*batch.select(columns).columns, pa.array(sequence), pa.array(offset)],
                 [*columns, "sequence_id", "offset"],
