@@ -10,9 +10,11 @@ distinct fingerprints that agree there form a bucket. A bucket is stored as bit
 planes (word k holds bit k of 64 fingerprints). A fingerprint is compared with 64
 others at once: XOR with a plane, then a carry-save counter of two or more bit
 slices; a word all of whose 64 counters have passed the radius is abandoned.
-A bucket of more than ``CHUNK`` fingerprints is cut into chunks, and each pair of
-chunks is a task row of its own. A task row returns a spanning forest of its links,
-never all pairs.
+A bucket of more than ``FULL`` fingerprints is not compared as it is: the bits that its
+members need not agree in are cut into ``radius + 1`` further blocks, of which a pair
+within the radius agrees in one at least, and so on until no bucket is overfull. A
+bucket of more than ``CHUNK`` is cut into chunks, and each pair of chunks is a task row
+of its own. A task row returns a spanning forest of its links, never all pairs.
 
 Defined cases: null and empty texts have fingerprint zero and link like any other;
 a text with fewer words than a shingle has its whole word sequence as its only
@@ -25,12 +27,13 @@ input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeway.llm.common import bounded_slices, fresh, staged, texts_as_bytes
@@ -40,6 +43,8 @@ SEED = 42
 BITS = 64
 #: Fingerprints in one block of a large bucket.
 CHUNK = 4096
+#: Fingerprints of a bucket that is compared without further blocks.
+FULL = 4 * CHUNK
 #: Comparisons of a fingerprint with a word of 64 that are worked on at once.
 STEP = 1 << 16
 #: Shingle hashes that are counted at once.
@@ -198,27 +203,69 @@ def _signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def near_links(distinct: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b) that span the components of the distinct fingerprints in column fp."""
-    tables = [
-        F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(mask)).cast("long")).alias("key"))
-        for t, mask in enumerate(_block_masks(radius))
-    ]
-    keyed = distinct.select("fp", F.explode(F.array(*tables)).alias("k")).select("fp", "k.t", "k.key")
-    # written, so that the join has two plain inputs and Spark can split a large bucket's
-    shared = staged(keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    members = keyed.join(shared, ["t", "key"]).select(
-        "t", "key", "fp", F.pmod(F.hash("fp"), chunks).alias("own"), chunks.alias("chunks")
+def _finer_masks(mask: int, radius: int) -> list[int]:
+    """``mask`` with one more block each: one of ``radius + 1`` into which its free bits are cut.
+
+    Fingerprints within the radius that agree in ``mask`` agree in one of these too. Too few
+    free bits to cut give an empty list; such a bucket has at most ``2 ** radius`` members.
+    """
+    free = [k for k in range(BITS) if not mask >> k & 1]
+    if len(free) <= radius:
+        return []
+    cuts = np.linspace(0, len(free), radius + 2).astype(int)
+    return [mask | sum(1 << k for k in free[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def _keys(masks: list[int], first: int = 0) -> Column:
+    """A struct (t, key) for each mask: the number of its table, and what it leaves of ``fp``."""
+    return F.array(
+        *[
+            F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(mask)).cast("long")).alias("key"))
+            for t, mask in enumerate(masks, first)
+        ]
     )
+
+
+def _cells(members: DataFrame) -> DataFrame:
+    """Lists ``fps`` of the buckets' members (t, key, fp, n); a large one is cut into pairs of chunks."""
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    placed = members.select("t", "key", "fp", F.pmod(F.hash("fp"), chunks).alias("own"), chunks.alias("chunks"))
     # a row for every pair of chunks that its chunk is part of
-    cells = (
-        members.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    return (
+        placed.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
         .groupBy("t", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
         .agg(F.collect_list("fp").alias("fps"))
         .select("fps")
     )
 
+
+def shared_buckets(distinct: DataFrame, radius: int) -> DataFrame:
+    """Lists ``fps`` of distinct fingerprints: those within the radius meet in one of them at least."""
+    masks = _block_masks(radius)
+    keyed = distinct.select("fp", F.explode(_keys(masks)).alias("k")).select("fp", "k.t", "k.key")
+    cells = []
+    while True:
+        finer = {t: more for t, mask in enumerate(masks) if (more := _finer_masks(mask, radius))}
+        # written, so that the join has two plain inputs and Spark can split a large bucket's
+        shared = staged(keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+        overfull = (F.col("n") > FULL) & F.col("t").isin(list(finer))
+        members = keyed.join(shared, ["t", "key"])
+        cells.append(_cells(members.where(~overfull)))
+        # at most a row for each table
+        tables = sorted(row["t"] for row in shared.where(overfull).select("t").distinct().collect())
+        if not tables:
+            return reduce(DataFrame.union, cells)
+        rest = staged(members.where(overfull).select("fp", "t"), "overfull")
+        masks, keys = [], F.lit(None)
+        for t in tables:
+            keys = F.when(F.col("t") == t, _keys(finer[t], len(masks))).otherwise(keys)
+            masks += finer[t]
+        keyed = rest.select("fp", F.explode(keys).alias("k")).select("fp", "k.t", "k.key")
+
+
+def near_links(distinct: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b) that span the components of the distinct fingerprints in column fp."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -232,7 +279,7 @@ def near_links(distinct: DataFrame, radius: int) -> DataFrame:
                 [pa.array(values[moved]), pa.array(values[root[moved]])], ["a", "b"]
             )
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    return shared_buckets(distinct, radius).mapInArrow(run, "a long, b long").distinct()
 
 
 def simhash_groups(

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from samples import SF, awkward, lower_ascii, none_of, prose, rows_of, space_words
 
 from ridgeway.llm import simhash
@@ -100,6 +101,32 @@ def test_links_across_chunks_and_tables(spark, monkeypatch):
     assert [roots.get(v, v) for v in values] == [values[w] for w in want]
 
 
+def test_overfull_buckets_meet_further_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 32)
+    monkeypatch.setattr(simhash, "FULL", 64)
+    r = np.random.default_rng(8)
+    # all agree in the first two of five blocks; some are within the radius, others just beyond it
+    values = {int(v) << 25 for v in r.integers(0, 1 << 38, 500)}
+    for v in list(values)[:150]:
+        for many in r.integers(1, 5, 4):
+            values.add(v ^ sum(1 << int(k) for k in r.choice(np.arange(25, 63), many, replace=False)))
+    # and so many at close quarters that one more block is not enough
+    values |= {int(v) << 40 for v in r.choice(1 << 9, 200, replace=False)}
+    values = sorted(values)
+    rows = spark.createDataFrame([(v,) for v in values], "fp long")
+    roots = {r.node: r.root for r in components(simhash.near_links(rows, 3), "a", "b").collect()}
+    want = groups(values, 3)
+    assert [roots.get(v, v) for v in values] == [values[w] for w in want]
+
+
+def test_an_overfull_bucket_sends_few_rows(spark):
+    n = 200_000
+    rows = spark.range(n).select(F.shiftleft(F.xxhash64("id"), 25).alias("fp")).distinct()
+    lists = simhash.shared_buckets(rows, 3).select(F.size("fps").alias("n"))
+    assert lists.agg(F.sum("n"), F.max("n")).first()[0] <= 20 * n
+    assert lists.agg(F.max("n")).first()[0] <= 2 * simhash.CHUNK
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5)]
     found = components(spark.createDataFrame(links, "a long, b long"), "a", "b")
