@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
@@ -68,6 +68,11 @@ class FeatureSpec:
             raise ValueError(f"columns with more than one role: {twice}")
         return self
 
+    def with_ranks(self, ordinals: Sequence[str]) -> FeatureSpec:
+        """These ordinals hold their ranks already and are plain numbers."""
+        rest = tuple(c for c in self.ordinals if c not in ordinals)
+        return replace(self, numericals=(*self.numericals, *ordinals), ordinals=rest)
+
     def with_categoricals(self, categoricals: Sequence[str]) -> FeatureSpec:
         return FeatureSpec(
             self.label, self.numericals, self.ordinals, tuple(categoricals), self.skipping, self.keys

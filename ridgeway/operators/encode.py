@@ -153,6 +153,16 @@ def _index_together(df: DataFrame, labels: Mapping[str, Sequence[str]], suffix:
     )
 
 
+def index_by_ranks(df: DataFrame, ranks: Mapping[str, DataFrame]) -> DataFrame:
+    """Replace columns by the ranks of their labels, from tables (value, rank) of any length.
+
+    Null and unseen values get the number of labels.
+    """
+    for column, table in ranks.items():
+        df = _index_by_join(df, column, table, "")
+    return df
+
+
 def _index_by_join(df: DataFrame, column: str, ranks: DataFrame, suffix: str) -> DataFrame:
     unknown = ranks.count()
     found = ranks.select(

@@ -9,8 +9,8 @@ step that can be left out.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import add
 
@@ -21,7 +21,16 @@ from pyspark.sql import functions as F
 from ridgeway.operators import wide
 from ridgeway.operators.columns import FeatureSpec, random_subset
 from ridgeway.operators.crossval import ALPHAS, best_alpha, mean_scores, score_folds
-from ridgeway.operators.encode import design_vectors, fit_labels, predict_design
+from ridgeway.operators.encode import (
+    MAX_LABELS,
+    TooManyLabels,
+    design_vectors,
+    fit_labels,
+    index_by_ranks,
+    label_counts,
+    predict_design,
+    rank_labels,
+)
 from ridgeway.operators.mllib import linear_regression, r2_on, solver_for
 from ridgeway.operators.moments import MAX_WIDTH, Design, Moments, moments
 from ridgeway.operators.ridge import LinearFit, fit_moments, r2_from_moments
@@ -83,6 +92,8 @@ class ExperimentResult:
     # how the model compared with was solved, and the components used (None: no reduction)
     mllib_solver: str | None = None
     components: int | None = None
+    # tables (value, rank) of the ordinals whose labels are too many for the driver
+    ranks: Mapping[str, DataFrame] = field(default_factory=dict)
 
     def rows(self) -> list[tuple[str, float, float | None]]:
         """Mean score per penalty, then the test scores at the chosen penalty."""
@@ -97,7 +108,14 @@ class ExperimentResult:
 
     def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         """Score any table that holds the raw feature columns."""
-        return predict_design(df, self.design, self.fit, name)
+        if not self.ranks:
+            return predict_design(df, self.design, self.fit, name)
+        # ranks stand in for the columns while they are scored
+        read = {c: f"_read_{c}" for c in self.ranks}
+        ranked = index_by_ranks(df.select("*", *(F.col(c).alias(r) for c, r in read.items())), self.ranks)
+        scored = predict_design(ranked, self.design, self.fit, name)
+        kept = [F.col(read.get(c, c)).alias(c) for c in df.columns if c != name]
+        return scored.select(*kept, name)
 
 
 def prepare(
@@ -120,13 +138,33 @@ def prepare(
     return rows.select(part.alias("part"), spec.label, *spec.features)
 
 
-def make_design(train: DataFrame, spec: FeatureSpec) -> Design:
+def make_design(train: DataFrame, spec: FeatureSpec, max_labels: int = MAX_LABELS) -> Design:
     """Labels from the training rows; a categorical without any label is left out."""
-    labels = fit_labels(train, [*spec.ordinals, *spec.categoricals])
+    labels = fit_labels(train, [*spec.ordinals, *spec.categoricals], max_labels=max_labels)
     categoricals = tuple(c for c in spec.categoricals if labels[c])
     return Design(spec.numericals, spec.ordinals, categoricals, labels=labels)
 
 
+def rank_tables(
+    train: DataFrame, spec: FeatureSpec, max_labels: int = MAX_LABELS
+) -> dict[str, DataFrame]:
+    """Tables (value, rank) of the ordinals with most labels, so that the driver can hold the others'.
+
+    One-hot columns have a weight per label, so theirs must fit: more are an error.
+    """
+    counts = label_counts(train, [*spec.ordinals, *spec.categoricals]).groupBy("column_name").count()
+    sizes = {row["column_name"]: row["count"] for row in counts.collect()}  # a row per column
+    left, moved = sum(sizes.values()), []
+    for column in sorted(spec.ordinals, key=lambda c: -sizes.get(c, 0)):
+        if left <= max_labels:
+            break
+        left -= sizes.get(column, 0)
+        moved.append(column)
+    if left > max_labels:
+        raise TooManyLabels(f"the categoricals hold {left} labels, more than {max_labels}")
+    return {c: rank_labels(train, c) for c in moved}
+
+
 def scale_basis(train: Moments, pca_k: int | None = None) -> np.ndarray:
     """1/std per feature (0 where it does not vary), or that times principal axes."""
     std = train.std
@@ -149,12 +187,17 @@ def run_experiment(
     compare: bool = True,
     refit_per_fold: bool = False,
     keep: str = "table",
+    max_labels: int = MAX_LABELS,
 ) -> ExperimentResult:
     """Run a preset on a table.
 
     Features are scaled by the whole training set before folds are cut;
     ``refit_per_fold`` scales by each fold's own training rows instead.
 
+    The driver holds ``max_labels`` labels at most. Ordinals beyond that are replaced by
+    ranks from a table that is joined; the result is the same. ``pca_k`` above the number of
+    features means all of them.
+
     ``keep`` says what happens to the prepared rows between the passes: 'table'
     writes them to the shared folder (which survives executors) and deletes them
     at the end, 'cache' holds them in the executors' memory and disk, 'nothing'
@@ -165,20 +208,32 @@ def run_experiment(
     rows = prepare(df, spec, folds, weights, seed)
     if keep == "cache":
         with reused(rows) as kept:
-            return _run(kept, spec, preset, compare, refit_per_fold)
+            return _run(kept, spec, preset, compare, refit_per_fold, max_labels)
     if keep == "table":
         with staged_for(rows, preset.name) as kept:
-            return _run(kept, spec, preset, compare, refit_per_fold)
+            return _run(kept, spec, preset, compare, refit_per_fold, max_labels)
     if keep != "nothing":
         raise ValueError("keep must be 'cache', 'table' or 'nothing'")
-    return _run(rows, spec, preset, compare, refit_per_fold)
+    return _run(rows, spec, preset, compare, refit_per_fold, max_labels)
 
 
 def _run(
-    rows: DataFrame, spec: FeatureSpec, preset: Preset, compare: bool, refit_per_fold: bool
+    rows: DataFrame,
+    spec: FeatureSpec,
+    preset: Preset,
+    compare: bool,
+    refit_per_fold: bool,
+    max_labels: int,
 ) -> ExperimentResult:
     train_rows = rows.filter(F.col("part") != TEST_PART)
-    design = make_design(train_rows, spec)
+    try:
+        design = make_design(train_rows, spec, max_labels)
+    except TooManyLabels:
+        ranks = rank_tables(train_rows, spec, max_labels)
+        joined = spec.with_ranks(list(ranks))
+        with staged_for(index_by_ranks(rows, ranks), f"{preset.name}-ranked") as kept:
+            result = _run(kept, joined, preset, compare, refit_per_fold, max_labels)
+        return replace(result, ranks=ranks)
     used = spec.with_categoricals(design.categoricals)
     width = len(design.terms)
     pca_k = preset.pca_k and min(preset.pca_k, width)

@@ -26,12 +26,14 @@ def _experiment_sql(
     alphas: tuple[float, ...] = (0.01, 0.1, 1.0),
     components: int | None = None,
     predictions: bool = False,
+    by_order: bool = False,
 ) -> str:
     """An experiment in SQL: one matrix per part, axes by powers, fits by elimination.
 
-    Its scores, or with ``predictions`` what the final fit says of the test rows.
+    Its scores, or with ``predictions`` what the final fit says of the test rows. ``by_order``
+    takes the order's key as one more ordinal.
     """
-    dense = [*sql.NUMERICALS, "line_rank", "priority_rank"]
+    dense = [*sql.NUMERICALS, "line_rank", "priority_rank", *(["order_rank"] if by_order else [])]
     label = 9999
     dense_cells = "\n  UNION ALL ".join(
         f"SELECT rid, part, {i + 1} AS pos, CAST({c} AS DOUBLE) AS x FROM ranked" for i, c in enumerate(dense)
@@ -75,11 +77,14 @@ rows AS MATERIALIZED (
 train AS (SELECT * FROM rows WHERE part >= 0),
 line_ranks AS ({sql.ranked_labels('train', 'l_linenumber')}),
 priority_ranks AS ({sql.ranked_labels('train', 'o_orderpriority')}),
+order_ranks AS MATERIALIZED ({sql.ranked_labels('train', 'l_orderkey')}),
 ranked AS MATERIALIZED (
   SELECT rows.*, coalesce(a.r, (SELECT count(*) FROM line_ranks)) AS line_rank,
-         coalesce(b.r, (SELECT count(*) FROM priority_ranks)) AS priority_rank
+         coalesce(b.r, (SELECT count(*) FROM priority_ranks)) AS priority_rank,
+         coalesce(c.r, (SELECT count(*) FROM order_ranks)) AS order_rank
   FROM rows LEFT JOIN line_ranks a ON l_linenumber::VARCHAR = a.v
   LEFT JOIN priority_ranks b ON o_orderpriority = b.v
+  LEFT JOIN order_ranks c ON l_orderkey::VARCHAR = c.v
 ),
 chosen AS (SELECT name FROM (VALUES {names}) AS t(name) ORDER BY md5('0-' || name) LIMIT {categoricals}),
 coded AS MATERIALIZED (SELECT * FROM ({values}) WHERE name IN (SELECT name FROM chosen)),
@@ -223,6 +228,14 @@ def experiment5(spark, sf_dir):
     return _run(spark, sf_dir, "experiment5")
 
 
+@query(_experiment_sql(0, by_order=True))
+def experiment_many_labels(spark, sf_dir):
+    """With the order's key as an ordinal, whose labels the driver may not hold."""
+    spec = replace(SPEC, ordinals=(*SPEC.ordinals, "l_orderkey"))
+    result = run_experiment(model_rows(spark, sf_dir), spec, PRESETS["experiment1"], max_labels=1000)
+    return result.frame(spark).withColumn("r2", F.round("r2", 9))
+
+
 @query(_experiment_sql(6, (1.0,), predictions=True))
 def predict_experiment5(spark, sf_dir):
     """The final model of an experiment on the raw columns of the test rows."""

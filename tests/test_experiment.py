@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridgeway.operators import metrics
+from ridgeway.operators.encode import TooManyLabels
 from ridgeway.operators.mllib import feature_pipeline
 from ridgeway.operators.ridge import RidgeRegression
 from ridgeway.plans import census
@@ -170,6 +171,38 @@ def test_results_do_not_depend_on_the_layout(table, spec):
     assert one.ridge_r2 == pytest.approx(many.ridge_r2, abs=1e-10)
 
 
+def test_ordinals_of_many_labels_are_joined(table, spec):
+    """A column with almost as many labels as rows, with nulls, gives the driver's results."""
+    ids = F.when(F.col("SERIALNO") % 7 > 0, F.col("SERIALNO") * 10 + F.col("SPORDER"))
+    table = table.withColumn("many", ids)
+    spec = replace(spec, ordinals=("many", *spec.ordinals[:2]))
+    preset = small(PRESETS["experiment2"], spec)
+    plain = run_experiment(table, spec, preset)
+    assert not plain.ranks
+    joined = run_experiment(table, spec, preset, max_labels=60)
+    assert list(joined.ranks) == ["many"] and "many" not in joined.design.labels
+    assert joined.alpha == plain.alpha
+    assert joined.ridge_r2 == pytest.approx(plain.ridge_r2, abs=1e-9)
+    assert joined.mllib_r2 == pytest.approx(plain.mllib_r2, abs=1e-7)
+    for (_, _, a), (_, _, b) in zip(joined.fold_scores, plain.fold_scores):
+        assert a == pytest.approx(b, abs=1e-9)
+    # values never met among the training rows too; the columns come back as they were
+    new = table.withColumn("many", F.when(F.col("SPORDER") == 1, F.col("many")).otherwise(-F.col("many")))
+    found, want = joined.predict(new), plain.predict(new)
+    assert found.columns == want.columns
+    key = ["SERIALNO", "SPORDER"]
+    found, want = ({(r[0], r[1]): r[2:] for r in d.select(*key, "many", "prediction").collect()} for d in (found, want))
+    assert found.keys() == want.keys()
+    for k, (many, prediction) in found.items():
+        assert many == want[k][0] and (prediction is None) == (want[k][1] is None)
+        assert prediction is None or prediction == pytest.approx(want[k][1], rel=1e-9, abs=1e-6)
+
+
+def test_too_many_categories_are_an_error(table, spec):
+    with pytest.raises(TooManyLabels):
+        run_experiment(table, spec, PRESETS["experiment5"], compare=False, max_labels=3)
+
+
 def test_scaling_per_fold_is_another_score(table, spec):
     once = run_experiment(table, spec, PRESETS["experiment1"], compare=False)
     anew = run_experiment(table, spec, PRESETS["experiment1"], compare=False, refit_per_fold=True)
