@@ -31,7 +31,7 @@ def test_query_and_sql(spark, con, name):
 
 def test_one_query_per_operator():
     names = [n for n in entry_point.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_point.queries() and list(STAGES) == [
         "quality", "line_dedup", "near_dedup", "decontaminate", "pack"
     ]
