@@ -16,9 +16,10 @@ that do not depend on the notation: a Luhn sum, octets, a last label of letters,
 a telling word before a phone number. The trees do not see the Luhn sum nor the octets, so
 their probability says how many candidates like this one meet the check. They are fitted
 on the counts of the distinct descriptions of all candidates that a base span does not
-partly cover, of whom there are few whatever the corpus, in at most about ``FIT_TEXTS``
-distinct texts, drawn by hash; a quarter of these, taken by hash too, calibrates them and sets each kind's threshold: the lowest at which those that meet
-the check do so, to ``PRECISION``, not by chance. A candidate that meets its check, reaches
+partly cover, of whom there are few whatever the corpus, in all distinct texts. Three
+quarters of the texts, by hash, teach the trees; the others calibrate them and set each
+kind's threshold: the lowest at which those that meet the check do so, to ``PRECISION``,
+not by chance. A candidate that meets its check, reaches
 the threshold and does not touch a base span or a more probable candidate is a redaction
 too. Limits: a phone number with neither plus nor telling word is not added; a candidate for
 one ends with the last group that fits into 26 characters (``_PHONE_CHARS``), so one with wider
@@ -28,8 +29,9 @@ The work grows with a text's length and matches, but for a logarithm and a root:
 running sums in blocks, a candidate finds the base spans it touches by bisection, and overlaps
 are settled within each group of touching candidates.
 
-Only DataFrame functions touch the texts. The drawn texts and the counts are shuffled,
-all others meet one pass and no shuffle.
+Only DataFrame functions touch the texts, in two passes, to fit and to apply. The first
+shuffles a hash and the descriptions of each text that has candidates, so that copies
+count once; texts are not shuffled.
 
 Defined cases: a null text is empty; a text without matches has the digest of an empty
 list; repeated rows each get their result; without candidates nothing is added; an empty table gives an empty result; other columns are not read.
@@ -97,8 +99,6 @@ CONTEXT = (
 _TELLING = r"(?:phone|tel\b|tel[.:]|call|fax|mobile|dial)[^0-9]*$"
 FEATURES = ("kind", "digits", "separators", "widest", "before", "after", "context")
 CONTEXT_CHARS = 24
-#: Texts the trees are fitted on, about; all if there are no more.
-FIT_TEXTS = 50_000
 CALIBRATE = 4
 PRECISION = 0.95
 #: Share of other text that meets a kind's check by chance: a tenth of all numbers has a right Luhn sum.
@@ -492,9 +492,15 @@ def _drawn(docs: DataFrame, texts: int) -> DataFrame:
     return docs.select("text").filter(mark < int(share * (1 << 30))).distinct()
 
 
-def fit_private(docs: DataFrame, texts: int = FIT_TEXTS) -> tuple[BoostedTrees, dict[str, float]] | None:
-    """The trees and the kinds' thresholds; None if there is not one candidate."""
+def fit_private(docs: DataFrame, texts: int | None = None) -> tuple[BoostedTrees, dict[str, float]] | None:
+    """The trees and the kinds' thresholds; None if there is not one candidate.
+
+    They are fitted on all distinct texts, or if ``texts`` is given on about so many.
+    """
+    if texts is not None:
+        docs = _drawn(docs, texts)
     part = (F.pmod(F.xxhash64("text"), F.lit(CALIBRATE)) == 0).cast("int")
+    rows = docs.select("text", F.sha2("text", 256).alias("key"), part.alias("part"))
 
     def is_base(c: Column, base: Column) -> Column:
         same = F.struct(*[c[f].alias(f) for f in ("kind", "start", "end")])
@@ -504,12 +510,16 @@ def fit_private(docs: DataFrame, texts: int = FIT_TEXTS) -> tuple[BoostedTrees,
     def labelled(x: Column) -> Column:
         sure = F.transform("candidates", lambda c: c.withField("sure", is_base(c, x["base"])))
         asked = F.filter(sure, lambda c: c["sure"] | ~_touched(c, x["cover"]))
-        return F.transform(asked, lambda c: c.withField("label", F.greatest(c["meets"], c["sure"].cast("int"))))
+        label = lambda c: F.greatest(c["meets"], c["sure"].cast("int")).alias("label")
+        return F.transform(asked, lambda c: F.struct(*[c[f].alias(f) for f in FEATURES], label(c)))
 
     spans = _let(F.struct(F.array_sort("base").alias("base"), _cover(F.col("base")).alias("cover")), labelled)
+    some = F.filter(F.array(spans), lambda s: F.size(s) > 0)  # no row for a text without candidates
     rows = (
-        _with_candidates(_with_base(_drawn(docs, texts)))
-        .select(part.alias("part"), F.explode(spans).alias("c"))
+        _with_candidates(_with_base(rows))
+        .select("key", "part", F.explode(some).alias("spans"))
+        .distinct()
+        .select("part", F.explode("spans").alias("c"))
         .groupBy("part", *[F.col("c")[f].alias(f) for f in FEATURES])
         .agg(F.count(F.lit(1)).alias("n"), F.sum("c.label").alias("up"))
         .collect()  # distinct descriptions: bounded by the features' ranges

@@ -248,3 +248,15 @@ def test_fit_on_drawn_texts(spark):
     assert len(set(drawn)) == len(drawn) and 300 < len(drawn) < 500
     assert drawn == sorted(row.text for row in private._drawn(docs.repartition(7), 600).collect())
     assert private._drawn(docs, 10**6).count() == 2000
+
+
+def test_fit_on_all_texts(spark):
+    """Every distinct text counts, however many there are, and copies count once."""
+    n, rare = 60_000, 40
+    calls = spark.range(n).select(F.concat(F.lit("call 20055"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("text"))
+    docs = calls.union(calls.limit(500)).union(spark.range(rare).selectExpr("concat('no number ', id) AS text"))
+    learnt = calls.filter(F.pmod(F.xxhash64("text"), F.lit(private.CALIBRATE)) != 0).count()
+    trees, thresholds = private.fit_private(docs)
+    # all candidates meet their check: the trees start at the logit of their smoothed share
+    assert round((np.exp(trees.start) - 1) / 2) == learnt
+    assert set(thresholds) == set(private.KINDS)
