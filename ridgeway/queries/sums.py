@@ -12,7 +12,7 @@ from ridgeway.operators.ridge import with_intercept
 from ridgeway.operators.split import with_fold
 from ridgeway.queries import sql
 from ridgeway.queries.registry import query
-from ridgeway.queries.tables import LINE_KEYS, SPEC, lines, model_rows, significant, table
+from ridgeway.queries.tables import LINE_KEYS, SPEC, lines, model_rows, net_price, significant, table
 
 EMBEDDING_WIDTH = 64
 
@@ -147,8 +147,10 @@ SELECT o_orderstatus, a, b, n, {sql.significant('value', 7)} AS value FROM ({_OV
 def gram_over_join(spark, sf_dir):
     """Covariances of lines and their orders; one row per order meets the order, not its lines."""
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    # no spreading: the lines are shuffled by their order anyway
+    rows = table(spark, sf_dir, "lineitem").select("*", net_price())
     found = ops.moments_over_join(
-        lines(spark, sf_dir), orders, ["l_orderkey"], _OVER_JOIN[:-1], "y", by=["o_orderstatus"]
+        rows, orders, ["l_orderkey"], _OVER_JOIN[:-1], "y", by=["o_orderstatus"]
     )
     entries = found.named(found.entries())
     value = significant(F.col("value") / (F.col("n") - 1), 7)

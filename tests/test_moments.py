@@ -392,6 +392,36 @@ def test_the_join_meets_one_row_per_key(spark):
     assert "Aggregate" in join  # below the join, on the side of the many
 
 
+def test_rows_of_rare_keys_are_shuffled_as_they_are(spark):
+    many, one = joined_frames(spark)
+    table = ops.moments_over_join(many, one, ["k", "st"], ["x", "w"], "y")
+    plan = table.packed._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join Inner") :]
+    # nothing is aggregated before the rows are shuffled, and keys with many rows are cut before
+    assert join.index("Aggregate") < join.index("RepartitionByExpression [k") < join.index("MapInArrow")
+    physical = table.packed._jdf.queryExecution().executedPlan().toString()
+    assert all("covarpopulation" not in line for line in physical.splitlines() if "Exchange" in line)
+    assert physical.count("Exchange hashpartitioning(k") <= 2
+
+
+def test_a_hot_key_is_reduced_before_the_shuffle(spark):
+    df = spark.range(0, 60_000, 1, 3).selectExpr(
+        "if(id % 3 > 0, 7, id) AS k", "1e9D + id % 11 AS x", "if(id = 4, null, sqrt(id)) AS y"
+    )
+    few = ops._thinned(df, ["k"], ["x", "y"])
+    assert few.filter("k = 7").count() <= 2 * 3 and few.filter("_done is null").count() == 20_000
+    one = spark.createDataFrame([(7, "a"), (3, "b"), (6, "b")], "k long, kind string")
+    found = ops.moments_over_join(df, one, ["k"], ["x"], "y", by=["kind"]).collect()
+    hot = np.array([i for i in range(60_000) if i % 3 and i != 4])
+    for kind, ids in (("a", hot), ("b", np.array([3, 6]))):
+        x = np.stack([ids % 11, np.sqrt(ids)])
+        mean, away = x.mean(axis=1), x - x.mean(axis=1, keepdims=True)
+        size = np.sqrt((away**2).sum(axis=1))
+        got = found[(kind,)]
+        assert got.n == len(ids) and np.allclose(got.means - [1e9, 0], mean, rtol=0, atol=1e-6)
+        assert np.allclose(got.centred / np.outer(size, size), away @ away.T / np.outer(size, size), rtol=0, atol=1e-7)
+
+
 def test_more_columns_than_a_tile_are_joined(spark, monkeypatch):
     many, one = joined_frames(spark)
     want = ops.moments_over_join(many, one, ["k", "st"], ["x", "w"], "y").collect()[()]
